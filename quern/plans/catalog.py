@@ -1,0 +1,6 @@
+"""Every query of the engine, by name, with its SQL."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE: dict = {}
