@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import exact_dedup, pii, simhash, url_filter
+from quern.llm import decontaminate, exact_dedup, langid, line_dedup, packing, pii, simhash, url_filter, warc
 from quern.llm._shared import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -25,14 +34,34 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), listed, len(url_filter.LISTED_NAMES) * len(url_filter.LISTED_ZONES))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_langid": op3_langid,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_warc": op7_warc,
     "op8_url_filter": op8_url_filter,
+    "op9_packing": op9_packing,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
+    "op1_line_dedup": line_dedup.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op7_warc": warc.SQL,
     "op8_url_filter": url_filter.SQL,
+    "op10_decontaminate": decontaminate.SQL,
 }
