@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, exact_dedup, langid, line_dedup, packing, pii, simhash, url_filter, warc
+from quern.llm import decontaminate, exact_dedup, langid, line_dedup, packing, pii, simhash, substring_dedup, url_filter, warc
 from quern.llm._shared import table
 
 
@@ -21,6 +21,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.train(docs))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_warc": op7_warc,

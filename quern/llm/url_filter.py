@@ -124,7 +124,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, expected: int, rules=RULES,
 
 def default_list(spark: SparkSession) -> DataFrame:
     """The list that the query uses: bare hosts of every listed name in every zone."""
-    return spark.createDataFrame([(f"{n}.example.{z}/",) for n in LISTED_NAMES for z in LISTED_ZONES], "canonical string")
+    rows = F.array(*[F.lit(f"{n}.example.{z}/") for n in LISTED_NAMES for z in LISTED_ZONES])
+    return spark.range(1).select(F.explode(rows).alias("canonical"))
 
 
 SQL = """
