@@ -169,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         for batch in batches:
             for page, url, payload, revisit, refers in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
-                    out, z, count, held = _Out(f"{folder}/raw/part-{part:06d}-{made:04d}.warc.gz"), zlib.compressobj(1, zlib.DEFLATED, _GZIP), 0, 0
+                    out, z, count, held = _Out(f"{folder}/raw/part-{part:06d}-{made:04d}.warc.gz"), zlib.compressobj(6, zlib.DEFLATED, _GZIP), 0, 0
                 data = record_bytes(page, url, payload, base32_sha1(payload), refers, revisit)
                 out.write(z.compress(data))
                 count, held = count + 1, held + len(data)
