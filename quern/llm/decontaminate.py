@@ -15,7 +15,6 @@ are ignored by ``hits``.
 
 from __future__ import annotations
 
-import hashlib
 from itertools import repeat
 
 import numpy as np
@@ -154,17 +153,6 @@ def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int):
     yield shard
 
 
-_AUTOMATA: dict = {}
-
-
-def _automaton(key: str, shard: list, window: int) -> Automaton:
-    """Built once per worker process."""
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
-        _AUTOMATA[key] = Automaton([(item, words_of(text)) for item, text in shard], window)
-    return _AUTOMATA[key]
-
-
 def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """docs with ``__n_words``, ``__spans`` (array of start and end words) and ``__items`` (ids as strings)."""
     import pyarrow as pa
@@ -176,10 +164,8 @@ def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col:
     place = docs.columns.index(text_col)
 
     def one_pass(frame: DataFrame, shard: list) -> DataFrame:
-        key = hashlib.sha1(repr((window, shard)).encode("utf-8", "surrogatepass")).hexdigest()
-
         def run(batches):
-            machine = _automaton(key, shard, window)
+            machine = Automaton([(item, words_of(text)) for item, text in shard], window)
             for batch in batches:
                 n_words, spans, met = [], [], []
                 for text, had, ids in zip(batch.column(place).to_pylist(), batch.column(-2).to_pylist(), batch.column(-1).to_pylist()):

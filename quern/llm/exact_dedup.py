@@ -2,9 +2,10 @@
 
 Every partition of the input is a run of digests. Runs meet in rounds: in round r a row moves
 from run i to the run that has the r-th digit of i replaced by the r-th digit of its digest. The
-partner runs of a round are those that differ in that digit alone, as in a binomial exchange (radix ``fan_in`` in place of 2, so that a merge is multiway). Each run
-that a round makes is the merge of ``fan_in`` runs, with one entry per text: the identifier that
-stays and the number of copies. After the last round the run's number is the digest's own, so each
+partner runs of a round are those that differ in that digit alone, as in a binomial exchange (radix
+``fan_in`` in place of 2, so that a merge is multiway). Each run that a round makes is the merge of
+``fan_in`` runs, with one entry per text: the identifier that stays and the number of copies. Entries
+are structs, which Spark aggregates over sorted input: both sides of each exchange are runs sorted by digest. After the last round the run's number is the digest's own, so each
 text is in one run and no run ever holds more than its share of the digests. Copies collapse
 before they travel (partial aggregation inside a task), so a text with a third of all rows costs
 one entry per task.
@@ -56,8 +57,8 @@ def merge_runs(digests: DataFrame, keep: str = "smallest", runs: int = RUNS, fan
         entries = (
             entries.withColumn("__run", partner)
             .groupBy("__run", *_KEY)
-            .agg(pick("__id").alias("__id"), F.sum("__n").alias("__n"))
-            .sortWithinPartitions("__run", "__sha")
+            .agg(pick(F.when(F.col("__id").isNotNull(), F.struct("__id"))).alias("__best"), F.sum("__n").alias("__n"))
+            .select("__run", *_KEY, F.col("__best.__id").alias("__id"), "__n")
         )
     return entries.select(*_KEY, F.col("__id").alias("keep_id"), F.col("__n").alias("group_size"))
 
