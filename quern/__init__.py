@@ -1 +1,8 @@
 """Quern: a Spark-native engine for curating and analysing text and chat corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
