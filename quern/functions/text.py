@@ -58,7 +58,7 @@ def number_text(c: Column, digits: int = 6) -> Column:
 
 def cell_text(c: Column) -> Column:
     """Four places, or N/A."""
-    return F.coalesce(F.format_string("%.4f", c.cast("double")), F.lit("N/A"))
+    return F.when(c.isNull(), "N/A").otherwise(F.format_string("%.4f", c.cast("double")))
 
 
 def last_match(text: Column, pattern: str, group: int = 1) -> Column:

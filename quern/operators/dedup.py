@@ -134,9 +134,11 @@ def greedy_keep(nodes: DataFrame, pairs: DataFrame, rank: str = "rank", key: str
     return nodes.join(gone, nodes[key] == gone["k"], "left_anti")
 
 
-def semantic_dedup(df: DataFrame, threshold: float = 0.92, key: str = "pos", vector: str = "embedding", length: Column | None = None, exact: bool | None = None) -> DataFrame:
-    """Rows that stay, all columns. Taken by position, or by length (longest first, ties by position) if one is given."""
-    order = F.struct(*([-length] if length is not None else []), F.col(key))
+def semantic_dedup(
+    df: DataFrame, threshold: float = 0.92, key: str = "pos", vector: str = "embedding", length: Column | None = None, exact: bool | None = None, position: Column | None = None
+) -> DataFrame:
+    """Rows that stay, all columns. Taken by position (the key, unless one is given), or by length, longest first and ties by position, if a length is given."""
+    order = F.struct(*([(-length).alias("l")] if length is not None else []), (F.col(key) if position is None else position).alias("p"))
     ranked = df.withColumn("__rank", order)
     pairs = similar_pairs(df, threshold, key, vector, exact)
     return greedy_keep(ranked, pairs, "__rank", key).drop("__rank")

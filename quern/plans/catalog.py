@@ -1,6 +1,690 @@
-"""Every query of the engine, by name, with its SQL."""
+"""Every query of the engine, by name, with its SQL for DuckDB over the same tables.
+
+Some tables lack what a filter looks for; such queries read documents with marks put in (DECORATED), by the
+same expression in Spark and in SQL. No query leaves rows out to be cheap: limits stand only where they are the feature.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.functions import messages as M
+from quern.functions import text as T
+from quern.functions.order import global_rank
+from quern.operators import dedup, evalmetrics, filters, mix, quality, synth, trainlog
+from quern.plans import pipelines
+from quern.sources import loaders, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+DECORATED = """CASE doc_id % 10 WHEN 0 THEN text || ' Application.LoadLevel(1);' WHEN 1 THEN 'help' WHEN 2 THEN text || ' maybe try Foo.Bar'
+ WHEN 3 THEN text || ' I guess so' WHEN 4 THEN text || ' the camera, then?' WHEN 5 THEN 'short q' WHEN 6 THEN 'x;' WHEN 7 THEN text || ' ```code``` i guess'
+ WHEN 8 THEN text || ' new WWW' ELSE text END"""
+WS, DWS = T.WS, T.DUCK_WS
+_OLD = "|".join(p.replace(r"(?=.*\bWWW\b)", r".*\bWWW\b") for p in filters.REMOVED_API_PATTERNS)
+_SHORT = filters.DEPRECATED_API_PATTERNS[0].replace(r"(?<![\w.])", r"(?:^|[^\p{L}\p{N}_.])").replace(r"\s*(?=[.\)\];,=])", r"\s*[.\)\];,=]")
+_WORN = "|".join([_SHORT, *filters.DEPRECATED_API_PATTERNS[1:]])
+
+
+def q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def decorated(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", "source", "lang", F.expr(DECORATED).alias("t"))
+
+
+def talks(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as rows: pos, messages, source."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    c = read(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("t"))
+    return c.select(F.col("conv_id").alias("pos"), F.transform("t", lambda x: M.message(x["role"], x["text"])).alias("messages"), F.lit("erocal").alias("source"))
+
+
+TALKS = "c AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS m FROM conversations GROUP BY conv_id)"
+CLEAN = f"regexp_replace(%s, '^{DWS}+|{DWS}+$', '', 'g')"
+SQUEEZE = f"trim(regexp_replace(%s, '{DWS}+', ' ', 'g'))"
+RENDER = "coalesce(list_aggregate(list_transform(m, lambda x: '<|im_start|>' || x.role || chr(10) || x.content || '<|im_end|>' || chr(10)), 'string_agg', ''), '')"
+
+
+# ---- conversations
+
+
+@query("""SELECT conv_id, count(*) AS n_turns, length(coalesce(arg_max(text, turn) FILTER (role = 'user'), '')) AS last_user_len,
+ coalesce(arg_max(role, turn) = 'assistant' AND bool_or(role = 'user') AND trim(coalesce(arg_max(text, turn) FILTER (role = 'user'), '')) <> '' AND trim(arg_max(text, turn)) <> '', false) AS valid
+ FROM conversations GROUP BY conv_id""")
+def conv_messages_valid(spark, d):
+    m = F.col("messages")
+    return talks(spark, d).select(F.col("pos").alias("conv_id"), F.size(m).cast("long").alias("n_turns"), F.length(M.last_user(m)).cast("long").alias("last_user_len"), M.is_valid(m).alias("valid"))
+
+
+@query(f"""SELECT conv_id, sha256(coalesce(string_agg(role || ':' || {SQUEEZE % 'lower(text)'}, chr(10) ORDER BY turn) FILTER (role <> 'system'), '')) AS fp
+ FROM conversations GROUP BY conv_id""")
+def conv_fingerprint(spark, d):
+    return talks(spark, d).select(F.col("pos").alias("conv_id"), M.fingerprint(F.col("messages")).alias("fp"))
+
+
+@query("""SELECT conv_id, count(*) + CASE WHEN arg_min(role, turn) = 'system' THEN 0 ELSE 1 END AS n_turns,
+ count(*) FILTER (role = 'system') + CASE WHEN arg_min(role, turn) = 'system' THEN 0 ELSE 1 END AS n_system FROM conversations GROUP BY conv_id""")
+def conv_ensure_system(spark, d):
+    m = M.with_system(F.col("messages"))
+    return talks(spark, d).select(F.col("pos").alias("conv_id"), F.size(m).cast("long").alias("n_turns"), F.size(F.filter(m, lambda x: x["role"] == "system")).cast("long").alias("n_system"))
+
+
+@query(f"WITH {TALKS} SELECT conv_id, md5({RENDER}) AS h FROM c")
+def conv_chat_template(spark, d):
+    return talks(spark, d).select(F.col("pos").alias("conv_id"), F.md5(M.rendered(F.col("messages"))).alias("h"))
+
+
+@query(f"""WITH {TALKS}, t AS (SELECT conv_id, coalesce(list_filter(m, lambda x: x.role = 'system')[1].content, '') AS sys, list_filter(m, lambda x: x.role IN ('user', 'assistant')) AS talk FROM c),
+ o AS (SELECT *, CASE WHEN talk[-1].role = 'assistant' THEN talk[-1].content ELSE '' END AS out FROM t),
+ h AS (SELECT *, CASE WHEN out <> '' THEN talk[1:len(talk) - 1] ELSE talk END AS hist FROM o),
+ i AS (SELECT *, CASE WHEN len(hist) <= 1 THEN coalesce(hist[1].content, '') ELSE list_aggregate(list_transform(hist, lambda x: CASE WHEN x.role = 'user' THEN '[User] ' ELSE '[Assistant] ' END || x.content), 'string_agg', chr(10)) END AS ins FROM h)
+ SELECT conv_id, md5({CLEAN % "CASE WHEN sys <> '' THEN '[System] ' || sys || chr(10) || ins ELSE ins END"}) AS instruction_md5, md5({CLEAN % 'out'}) AS output_md5 FROM i""")
+def conv_alpaca(spark, d):
+    a = talks(spark, d).select(F.col("pos").alias("conv_id"), M.alpaca(F.col("messages")).alias("a"))
+    return a.select("conv_id", F.md5("a.instruction").alias("instruction_md5"), F.md5("a.output").alias("output_md5"))
+
+
+@query("""SELECT conv_id, count(*) FILTER (role <> 'assistant') AS n_user, count(*) FILTER (role = 'assistant') AS n_assistant, 1::BIGINT AS n_system FROM conversations GROUP BY conv_id""")
+def conv_sharegpt_roles(spark, d):
+    name = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise("tool")
+    c = read(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", name.alias("from"), F.col("text").alias("value")))).alias("t"))
+    c = c.select("conv_id", F.transform("t", lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value"))).alias("conversations"))
+    made = c.select("conv_id", M.detected(c).alias("m"))
+    n = lambda r: F.size(F.filter("m", lambda x: x["role"] == r)).cast("long")
+    return made.select("conv_id", n("user").alias("n_user"), n("assistant").alias("n_assistant"), n("system").alias("n_system"))
+
+
+_AUTO = {
+    "instruction": "CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END",
+    "input": "CASE WHEN doc_id % 3 = 0 THEN ' ' ELSE lang END",
+    "output": "CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END",
+    "response": "CASE WHEN doc_id % 14 = 0 THEN 'r' END",
+}
+
+
+@query(f"""WITH t AS (SELECT doc_id, {', '.join(f"{CLEAN % f'coalesce({v}, {chr(39)*2})'} AS {k}" for k, v in _AUTO.items())} FROM documents),
+ u AS (SELECT doc_id, CASE WHEN instruction <> '' AND input <> '' THEN instruction || chr(10) || chr(10) || input ELSE coalesce(nullif(instruction, ''), nullif(input, ''), '') END AS usr, coalesce(nullif(output, ''), nullif(response, ''), '') AS ans FROM t)
+ SELECT doc_id, CASE WHEN usr <> '' AND ans <> '' THEN 3 ELSE 0 END::BIGINT AS n, CASE WHEN usr <> '' AND ans <> '' THEN usr END AS usr, CASE WHEN usr <> '' AND ans <> '' THEN md5(ans) END AS ans FROM u""")
+def auto_schema_pairs(spark, d):
+    t = read(spark, d, "documents").select(F.col("doc_id").alias("pos"), *[F.expr(v).alias(k) for k, v in _AUTO.items()])
+    m = F.col("messages")
+    return loaders.auto_schema(t).select(
+        F.col("pos").alias("doc_id"), F.size(m).cast("long").alias("n"), F.get(m, F.lit(1))["content"].alias("usr"), F.md5(F.get(m, F.lit(2))["content"]).alias("ans")
+    )
+
+
+_SYS = q(M.SYSTEM_PROMPT)
+
+
+@query(f"""SELECT doc_id, length({_SYS} || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || '# Reference' || chr(10) || lang ELSE '' END) AS system_len, md5({CLEAN % 'text'}) AS answer_md5 FROM documents""")
+def qa_pairs_with_context(spark, d):
+    t = read(spark, d, "documents").select(F.col("doc_id").alias("pos"), F.col("source").alias("question"), F.col("text").alias("answer"), F.expr("CASE WHEN doc_id % 2 = 0 THEN lang ELSE ' ' END").alias("api"))
+    m = F.col("messages")
+    made = loaders.api_answers(t, inject_context=True)
+    return made.select(F.col("pos").alias("doc_id"), F.length(m[0]["content"]).cast("long").alias("system_len"), F.md5(m[2]["content"]).alias("answer_md5"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda p: {CLEAN % 'p'} <> '') AS p FROM documents WHERE contains(lower(text), 'the'))
+ SELECT doc_id, md5({CLEAN % 'p[1]'}) AS question_md5, md5({CLEAN % "list_aggregate(p[2:], 'string_agg', chr(10))"}) AS answer_md5 FROM t WHERE len(p) >= 2 ORDER BY doc_id LIMIT 300""")
+def keyword_paragraph_split(spark, d):
+    made = loaders.keyword_documents(read(spark, d, "documents"), "The", 300, pos="doc_id", gap="\n")
+    m = F.col("messages")
+    return made.select(F.col("pos").alias("doc_id"), F.md5(m[1]["content"]).alias("question_md5"), F.md5(m[2]["content"]).alias("answer_md5"))
+
+
+STRIP = "trim(regexp_replace(replace(replace(replace(replace(regexp_replace(%s, '<[^>]+>', ' ', 'g'), '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '" + DWS + "+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, md5({STRIP % 'html'}) AS h FROM pages")
+def html_strip(spark, d):
+    return read(spark, d, "pages").select("page_id", F.md5(T.strip_html(F.col("html"))).alias("h"))
+
+
+@query(f"SELECT page_id, '<b>s</b>' AS system, md5({STRIP % 'html'}) AS answer_md5 FROM pages")
+def html_strip_messages(spark, d):
+    p = read(spark, d, "pages").select(F.col("page_id").alias("pos"), F.array(M.message("system", F.lit("<b>s</b>")), M.message("assistant", F.col("html"))).alias("messages"), F.lit("x").alias("source"))
+    m = F.col("messages")
+    return loaders.strip_messages(p).select(F.col("pos").alias("page_id"), m[0]["content"].alias("system"), F.md5(m[1]["content"]).alias("answer_md5"))
+
+
+_PADDED = "CASE doc_id % 4 WHEN 0 THEN chr(9) || text WHEN 1 THEN text || chr(160) WHEN 2 THEN chr(28) || text || chr(8195) ELSE text END"
+
+
+@query(f"SELECT doc_id, md5({CLEAN % _PADDED}) AS h FROM documents")
+def clean_text(spark, d):
+    padded = F.expr("CASE doc_id % 4 WHEN 0 THEN '\\u0009' || text WHEN 1 THEN text || '\\u00a0' WHEN 2 THEN '\\u001c' || text || '\\u2003' ELSE text END")
+    return read(spark, d, "documents").select("doc_id", F.md5(T.clean(padded)).alias("h"))
+
+
+@query("""SELECT conv_id, md5(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant'), '')) AS assistant_md5, md5(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role IN ('user', 'assistant')), '')) AS full_md5
+ FROM conversations GROUP BY conv_id""")
+def role_texts(spark, d):
+    m = F.col("messages")
+    return talks(spark, d).select(F.col("pos").alias("conv_id"), F.md5(M.assistant_text(m)).alias("assistant_md5"), F.md5(M.full_text(m)).alias("full_md5"))
+
+
+@query("SELECT conv_id, 'erocal' AS source, count(*) + CASE WHEN arg_min(role, turn) = 'system' THEN 0 ELSE 1 END AS n_turns FROM conversations GROUP BY conv_id")
+def tag_and_project(spark, d):
+    made = loaders.conversations(talks(spark, d).withColumn("extra", F.lit(1)))
+    return made.select(F.col("pos").alias("conv_id"), "source", F.size("messages").cast("long").alias("n_turns"))
+
+
+@query("SELECT count(*) FILTER (conv_id % 3 <> 0) AS kept, count(*) AS n FROM (SELECT DISTINCT conv_id FROM conversations)")
+def skip_empty_messages(spark, d):
+    m = F.when(F.col("pos") % 3 == 0, F.array().cast(M.MESSAGES)).otherwise(F.col("messages"))
+    return talks(spark, d).select(m.alias("messages")).agg(F.count_if(filters.non_empty(F.col("messages"))).alias("kept"), F.count("*").alias("n"))
+
+
+@query(f"WITH {TALKS}, r AS (SELECT conv_id, {RENDER} AS t FROM c ORDER BY conv_id LIMIT 20) SELECT md5(string_agg(t, chr(10) || chr(10) ORDER BY conv_id)) AS h, count(*) AS n FROM r")
+def rendered_eval_text(spark, d):
+    sample = mix.head(talks(spark, d), 20)
+    return sinks.rendered_text(sample).select(F.md5("text").alias("h")).join(sample.agg(F.count("*").alias("n")))
+
+
+# ---- filters
+
+
+@query(f"SELECT doc_id, NOT (regexp_matches(({DECORATED}), {q(_OLD)}) OR regexp_matches(({DECORATED}), {q(_WORN)})) AS kept FROM documents")
+def filter_deprecated_strict(spark, d):
+    t = decorated(spark, d)
+    return t.select("doc_id", filters.up_to_date(M.pair(F.col("source"), F.col("t")), True).alias("kept"))
+
+
+@query(f"SELECT doc_id, NOT regexp_matches(source || ' ' || ({DECORATED}), {q(_OLD)}) AS kept FROM documents")
+def filter_deprecated_lenient(spark, d):
+    t = decorated(spark, d)
+    return t.select("doc_id", filters.up_to_date(M.pair(F.col("source"), F.col("t")), False, check_user=True).alias("kept"))
+
+
+AMBIGUOUS = f"""(regexp_matches(u, {q(filters.HAS_ALNUM)}) AND NOT regexp_matches(u, {q('(?i)' + filters.GENERIC_ONLY)})
+ AND ((length(u) >= 12 AND len(regexp_extract_all(u, '[^{DWS[1:]}+')) >= 3) OR contains(u, '```') OR regexp_matches(u, '[;{{}}]')))"""
+
+
+@query(f"SELECT doc_id, {AMBIGUOUS} AS kept FROM (SELECT doc_id, {CLEAN % f'({DECORATED})'} AS u FROM documents)")
+def filter_ambiguous(spark, d):
+    return decorated(spark, d).select("doc_id", filters.unambiguous(M.pair(F.col("t"), F.col("t"))).alias("kept"))
+
+
+def speculative(t: str, most: int = 1) -> str:
+    marks = f"len(regexp_extract_all({t}, {q('(?i)' + filters.SPECULATIVE)}))"
+    return f"({marks} < {most} OR {marks} = 0 OR contains({t}, '```') OR regexp_matches({t}, {q(filters.API_TOKEN)}))"
+
+
+@query(f"SELECT doc_id, {speculative('t')} AS kept FROM (SELECT doc_id, {DECORATED} AS t FROM documents)")
+def filter_speculative(spark, d):
+    return decorated(spark, d).select("doc_id", filters.grounded(M.pair(F.col("source"), F.col("t"))).alias("kept"))
+
+
+_SCORE = "CASE doc_id %% 6 WHEN 0 THEN 'abc' WHEN 1 THEN NULL ELSE CAST(quality * 10 AS %s) END"
+_ACCEPTED = "CASE doc_id %% 4 WHEN 0 THEN 'false' WHEN 1 THEN '17' ELSE CAST(toxic AS %s) END"
+
+
+@query(f"""SELECT doc_id, coalesce(TRY_CAST({_SCORE % 'VARCHAR'} AS BIGINT) >= 5, true) AND coalesce({_ACCEPTED % 'VARCHAR'} NOT IN ('', '0', 'false', 'False'), false) AS kept, n_chars
+ FROM labels LEFT JOIN documents USING (doc_id)""")
+def filter_meta_score(spark, d):
+    t = read(spark, d, "labels").join(read(spark, d, "documents"), "doc_id", "left")
+    t = t.select("doc_id", "n_chars", F.expr(_SCORE % "STRING").alias("score"), F.expr(_ACCEPTED % "STRING").alias("accepted"))
+    return t.select("doc_id", filters.meta_ok(t).alias("kept"), "n_chars")
+
+
+@query("SELECT doc_id, length(trim(text)) >= 120 AND regexp_matches(source || ' ' || text, '(?i)\\b(the|thing|was)\\b') AS kept FROM documents")
+def filter_heuristic(spark, d):
+    t = read(spark, d, "documents")
+    m = M.pair(F.col("source"), F.col("text"))
+    return t.select("doc_id", ((F.length(M.assistant_text(m)) >= 120) & filters.in_domain(M.full_text(m), ["the", "thing", "was"])).alias("kept"))
+
+
+@query(f"SELECT doc_id, len(regexp_extract_all(text, '[^{DWS[1:]}+')) AS words FROM documents WHERE len(regexp_extract_all(text, '[^{DWS[1:]}+')) <= 300")
+def filter_length(spark, d):
+    t = read(spark, d, "documents").select("doc_id", T.word_count(F.col("text")).alias("words"))
+    return t.filter(filters.short_enough(F.col("words"), 300))
+
+
+@query(f"""WITH t AS (SELECT doc_id, {DECORATED} AS t, source FROM documents), s1 AS (SELECT *, {CLEAN % 't'} AS u FROM t WHERE trim(t) <> ''), s2 AS (SELECT * FROM s1 WHERE {AMBIGUOUS}),
+ s3 AS (SELECT * FROM s2 WHERE NOT (regexp_matches(t, {q(_OLD)}) OR regexp_matches(t, {q(_WORN)}))), s4 AS (SELECT * FROM s3 WHERE {speculative('t')})
+ SELECT '0 all' AS stage, count(*) AS n FROM t UNION ALL SELECT '1 valid', count(*) FROM s1 UNION ALL SELECT '2 unambiguous', count(*) FROM s2 UNION ALL SELECT '3 current', count(*) FROM s3 UNION ALL SELECT '4 grounded', count(*) FROM s4""")
+def stage_funnel(spark, d):
+    m = F.col("m")
+    t = decorated(spark, d).select(M.pair(F.col("t"), F.col("t")).alias("m"))
+    passed = [F.lit(True)]
+    for c in (M.is_valid(m), filters.unambiguous(m), filters.up_to_date(m), filters.grounded(m)):
+        passed.append(passed[-1] & c)
+    names = ["0 all", "1 valid", "2 unambiguous", "3 current", "4 grounded"]
+    counts = t.agg(*[F.count_if(c).alias(n) for n, c in zip(names, passed)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(f"`{n}`").alias("n")) for n in names])).alias("r")).select("r.*")
+
+
+# ---- dedup
+
+
+@query("SELECT min(doc_id) AS doc_id, sha256(text) AS h FROM documents GROUP BY text")
+def dedup_exact(spark, d):
+    t = read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    return dedup.keep_first(t, "h", F.col("doc_id"))
+
+
+@query(f"""WITH u AS (SELECT doc_id AS pos, 'vishnuoi' AS source, text FROM documents UNION ALL SELECT doc_id + 1000000000, CASE WHEN doc_id % 2 = 0 THEN 'ibranze' ELSE 'erocal' END, '  ' || text FROM documents),
+ f AS (SELECT *, sha256({SQUEEZE % 'lower(text)'}) AS fp FROM u)
+ SELECT pos, source FROM (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY CASE source WHEN 'ibranze' THEN 0 WHEN 'vishnuoi' THEN 1 ELSE 2 END, pos) AS r FROM f) WHERE r = 1""")
+def dedup_priority(spark, d):
+    t = read(spark, d, "documents")
+    again = t.select((F.col("doc_id") + 1000000000).alias("pos"), F.when(F.col("doc_id") % 2 == 0, "ibranze").otherwise("erocal").alias("source"), F.concat(F.lit("  "), "text").alias("text"))
+    both = t.select(F.col("doc_id").alias("pos"), F.lit("vishnuoi").alias("source"), "text").unionByName(again)
+    keyed = both.select("pos", "source", M.fingerprint(F.array(M.message("user", F.col("text")))).alias("fp"))
+    return dedup.by_priority(keyed, "fp", "source", F.col("pos"), priority=dedup.active_priority(both)).select("pos", "source")
+
+
+@query()
+def dedup_semantic(spark, d):
+    return dedup.semantic_dedup(read(spark, d, "embeddings"), 0.30, "vec_id").select("vec_id", "label")
+
+
+@query("""SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.30""")
+def similar_pairs(spark, d):
+    return dedup.similar_pairs(read(spark, d, "embeddings"), 0.30).select("a", "b")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY length(text) DESC, doc_id) AS rank FROM documents")
+def longest_first(spark, d):
+    return global_rank(read(spark, d, "documents").select("doc_id", F.length("text").alias("l")), -F.col("l"), F.col("doc_id")).select("doc_id", "rank")
+
+
+_TOPICS = ["api", "bug", "code", "api"]
+
+
+@query("SELECT min(i * 10 + j)::BIGINT AS pos, sha256('user:' || a || ' ' || b) AS fp FROM (VALUES (0, 'api'), (1, 'bug'), (2, 'code'), (3, 'api')) x(i, a), (VALUES (0, 'one'), (1, 'two'), (2, 'one')) y(j, b) GROUP BY a, b")
+def unique_by_fingerprint(spark, d):
+    left = spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in _TOPICS])).alias("i", "a"))
+    both = left.select("*", F.posexplode(F.array(*[F.lit(x) for x in ("one", "two", "one")])).alias("j", "b"))
+    made = both.select((F.col("i") * 10 + F.col("j")).cast("long").alias("pos"), M.fingerprint(F.array(M.message("user", F.concat_ws(" ", "a", "b")))).alias("fp"))
+    return dedup.keep_first(made, "fp", F.col("pos"))
+
+
+@query("""SELECT m AS mix, coalesce(max(w) FILTER (s = 'ibranze'), 0) > 0 AND coalesce(max(w) FILTER (s = 'vishnuoi'), 0) > 0 AS overlap
+ FROM (VALUES ('a', 'ibranze', 40), ('a', 'erocal', 60), ('b', 'ibranze', 50), ('b', 'vishnuoi', 50), ('c', 'ibranze', 50), ('c', 'vishnuoi', 0)) t(m, s, w) GROUP BY m""")
+def source_overlap_flag(spark, d):
+    recipes = {"a": {"ibranze": 40, "erocal": 60}, "b": {"ibranze": 50, "vishnuoi": 50}, "c": {"ibranze": 50, "vishnuoi": 0}}
+    return spark.createDataFrame([(n, dedup.overlapping(list(r), r)) for n, r in recipes.items()], "mix string, overlap boolean")
+
+
+# ---- mixing
+
+
+def keyed(cols: str) -> str:
+    return f"sha256(concat_ws('|', '42', {cols}))"
+
+
+@query(f"SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {keyed('source, doc_id')}, doc_id) AS r FROM documents) WHERE r <= 20")
+def cap_per_source(spark, d):
+    return mix.cap_per_source(read(spark, d, "documents").select("doc_id", "source"), 20, key="doc_id")
+
+
+_MIX = {"src0": 50, "src1": 30, "src2": 20, "nowhere": 10}
+_PHASE2 = {"src3": 60, "src4": 40}
+
+
+def mix_sql(recipe: dict, target: int | None) -> str:
+    rows = ", ".join(f"('{s}', {w})" for s, w in recipe.items())
+    total = "min(n / share) OVER ()" if target is None else f"least(min(n / share) OVER (), {target})"
+    return f"""(WITH w(source, weight) AS (VALUES {rows}), n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+ s AS (SELECT source, n, weight::DOUBLE / sum(weight) OVER () AS share FROM w JOIN n USING (source) WHERE weight > 0),
+ k AS (SELECT source, least(round_even({total} * share, 0)::BIGINT, n) AS k FROM s),
+ r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {keyed('source, doc_id')}, doc_id) AS r FROM documents)
+ SELECT doc_id, source FROM r JOIN k USING (source) WHERE r <= k)"""
+
+
+@query(f"SELECT * FROM {mix_sql(_MIX, 200)}")
+def mix_ratio(spark, d):
+    return mix.apply_mix(read(spark, d, "documents").select("doc_id", "source"), _MIX, 200, key="doc_id")
+
+
+@query(f"SELECT 1::BIGINT AS phase, * FROM {mix_sql(_MIX, None)} UNION ALL SELECT 2, * FROM {mix_sql(_PHASE2, None)}")
+def curriculum_two_phase(spark, d):
+    t = read(spark, d, "documents").select("doc_id", "source")
+    one, two = (mix.apply_mix(t, m, key="doc_id").withColumn("phase", F.lit(p).cast("long")) for p, m in ((1, _MIX), (2, _PHASE2)))
+    return one.unionByName(two).select("phase", "doc_id", "source")
+
+
+@query(f"SELECT doc_id, row_number() OVER (ORDER BY {keyed('doc_id')}, doc_id) <= ceil((SELECT count(*) FROM documents) * 0.1) AS is_test FROM documents")
+def split_train_test(spark, d):
+    train, test = mix.split(read(spark, d, "documents").select("doc_id"), 0.1, key="doc_id")
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
+@query("SELECT source, count(*) AS n FROM (SELECT source FROM documents UNION ALL SELECT 'benchmark' FROM benchmark) GROUP BY source")
+def union_sources(spark, d):
+    a = read(spark, d, "documents").select(F.col("doc_id").alias("pos"), M.pair(F.col("source"), F.col("text")).alias("messages"), "source")
+    b = mix.extra_source(read(spark, d, "benchmark").select(F.col("item_id").alias("pos"), M.pair(F.lit("q"), F.col("text")).alias("messages")), "benchmark")
+    return quality.rows_per_source(mix.union_sources([a, b]))
+
+
+@query("(SELECT source FROM documents EXCEPT SELECT * FROM (VALUES ('src0'), ('src1'), ('nowhere')) t(source)) ORDER BY source")
+def source_setdiff(spark, d):
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in ("src0", "src1", "nowhere")])).alias("source"))
+    return read(spark, d, "documents").select("source").join(asked, "source", "left_anti").distinct()
+
+
+@query(f"SELECT doc_id FROM documents ORDER BY {keyed('doc_id')}, doc_id LIMIT 100")
+def debug_cap(spark, d):
+    return mix.sample_cap(read(spark, d, "documents").select("doc_id"), 100, key="doc_id")
+
+
+@query("SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 50")
+def head_sample(spark, d):
+    return mix.head(read(spark, d, "documents").select("doc_id", "n_chars"), 50, "doc_id")
+
+
+@query(f"SELECT doc_id, row_number() OVER (ORDER BY {keyed('doc_id')}, doc_id) AS place FROM documents")
+def seeded_shuffle(spark, d):
+    return global_rank(read(spark, d, "documents").select("doc_id"), T.seeded_key(42, F.col("doc_id")), F.col("doc_id"), name="place")
+
+
+@query("""SELECT r, n, round_even(n * least(greatest(r, 0), 0.5::DOUBLE) / (1 - least(greatest(r, 0), 0.5::DOUBLE)), 0)::BIGINT AS added
+ FROM (SELECT count(*) AS n FROM documents), (VALUES (0.02::DOUBLE), (0.25::DOUBLE), (0.9::DOUBLE), ((-1)::DOUBLE)) t(r)""")
+def abstain_share(spark, d):
+    n = read(spark, d, "documents").count()
+    return spark.createDataFrame([(r, n, mix.abstain_rows(n, r)) for r in (0.02, 0.25, 0.9, -1.0)], "r double, n long, added long")
+
+
+def product_sql() -> str:
+    parts = []
+    for question, answer in synth.TEMPLATES:
+        used = [f for f in synth.FIELDS if "{" + f + "}" in question + answer]
+        user, reply = q(question), q(answer)
+        for f in used:
+            user, reply = (f"replace({x}, '{{{f}}}', {f})" for x in (user, reply))
+        parts.append(f"SELECT {user} AS u, {reply} AS a FROM " + ", ".join(f"(VALUES {', '.join(f'({q(v)})' for v in synth.FIELDS[f])}) t_{f}({f})" for f in used))
+    return " UNION ALL ".join(parts)
+
+
+@query(f"SELECT md5(u) AS user_md5, md5(a) AS answer_md5, count(*) AS n FROM (SELECT DISTINCT u, a FROM ({product_sql()})) GROUP BY 1, 2")
+def abstain_product(spark, d):
+    m = F.col("messages")
+    return synth.abstain_pool(spark).groupBy(F.md5(m[1]["content"]).alias("user_md5"), F.md5(m[2]["content"]).alias("answer_md5")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT p_partkey, md5(trim(p_type) || CASE WHEN p_partkey % 3 <> 0 THEN chr(10) || '시그니처:' || chr(10) || '```csharp' || chr(10) || trim(p_brand) || chr(10) || '```' ELSE '' END
+ || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || '근거(공식 문서): ' || trim(p_name) ELSE '' END) AS answer_md5 FROM part WHERE p_partkey % 7 <> 0""")
+def grounded_answers(spark, d):
+    t = read(spark, d, "part").select(
+        F.col("p_partkey").alias("pos"),
+        F.expr("CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE p_name END").alias("member"),
+        F.col("p_type").alias("summary"),
+        F.expr("CASE WHEN p_partkey % 3 <> 0 THEN p_brand END").alias("signature"),
+        F.lit("").alias("example"),
+        F.expr("CASE WHEN p_partkey % 2 = 0 THEN p_name END").alias("url"),
+    )
+    return synth.grounded_answers(t).select(F.col("pos").alias("p_partkey"), F.md5(F.col("messages")[2]["content"]).alias("answer_md5"))
+
+
+# ---- reports
+
+
+@query(f"""SELECT source, count(*) AS n, avg(length(source || '?')) AS avg_user_len, avg(length(t)) AS avg_asst_len, avg(contains(t, '```')::INT) AS code_ratio,
+ avg((regexp_matches(t, {q(_OLD)}) OR regexp_matches(t, {q(_WORN)}))::INT) AS deprecated_ratio, avg(contains(source || '?', '?')::INT) AS question_ratio
+ FROM (SELECT source, {CLEAN % f'({DECORATED})'} AS t FROM documents) GROUP BY source""")
+def quality_report(spark, d):
+    t = decorated(spark, d).select("source", M.pair(F.concat("source", F.lit("?")), F.col("t")).alias("messages"))
+    return quality.quality(t)
+
+
+@query("""WITH p(name, ability) AS (VALUES ('ibranze', 'codegen'), ('ibranze', 'api'), ('erocal', 'bugfix'), ('erocal', 'design'), ('vishnuoi', 'codegen'), ('vishnuoi', 'api'), ('hypersniper', 'api'), ('gamedev', 'design'), ('gamedev', 'bugfix'), ('perf', 'perf')),
+ a(ability) AS (VALUES ('api'), ('bugfix'), ('codegen'), ('design'), ('perf'))
+ SELECT ability, coalesce(string_agg(name, ',' ORDER BY name), '') AS sources, count(name) AS n FROM a LEFT JOIN (SELECT * FROM p WHERE name IN ('ibranze', 'gamedev', 'common_pile', 'erocal')) USING (ability) GROUP BY ability""")
+def coverage_report(spark, d):
+    names = spark.createDataFrame([(s,) for s in ("ibranze", "gamedev", "common_pile", "erocal")], "name string")
+    return mix.coverage(names)
+
+
+# Categories of the holdout questions, three each.
+CATEGORIES = ["unity_api", "csharp_codegen", "bug_resolution", "system_design", "optimization"]
+
+
+@query("SELECT c AS category, 3::BIGINT AS n FROM (VALUES ('unity_api'), ('csharp_codegen'), ('bug_resolution'), ('system_design'), ('optimization')) t(c)")
+def holdout_counts(spark, d):
+    rows = spark.createDataFrame([(c, f"question {i}", "answer") for c in CATEGORIES for i in range(3)], loaders.HOLDOUT_SCHEMA)
+    return rows.groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query("SELECT lang, avg((doc_id % 3 = 0)::INT) AS em, count(*) AS n FROM documents GROUP BY lang")
+def exact_match_by_group(spark, d):
+    t = read(spark, d, "documents")
+    guess = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(" "), "text", F.lit("\t"))).otherwise(F.concat(F.lit("x"), "text"))
+    return t.groupBy("lang").agg(evalmetrics.exact_match(guess, F.col("text")).alias("em"), F.count("*").alias("n"))
+
+
+_GUESS = "CASE item_id % 3 WHEN 0 THEN text WHEN 1 THEN text || ' extra words, here.' ELSE substring(text, 1, 60) END"
+
+
+@query(f"""WITH t AS (SELECT item_id AS k, item_id % 2 AS grp, {_GUESS} AS p, text AS r FROM benchmark),
+ w AS (SELECT k, grp, list_filter(string_split_regex(regexp_replace(regexp_replace(' ' || p || ' ', '([^0-9])([\\.,])', '\\1 \\2 ', 'g'), '([\\.,])([^0-9])', ' \\1 \\2', 'g'), '\\s+'), lambda x: x <> '') AS p,
+  list_filter(string_split_regex(regexp_replace(regexp_replace(' ' || r || ' ', '([^0-9])([\\.,])', '\\1 \\2 ', 'g'), '([\\.,])([^0-9])', ' \\1 \\2', 'g'), '\\s+'), lambda x: x <> '') AS r FROM t),
+ gp AS (SELECT grp, k, o, list_aggregate(p[i:i + o - 1], 'string_agg', ' ') AS g, count(*) AS n FROM w, range(1, 5) a(o), unnest(range(1, len(p) - o + 2)) b(i) GROUP BY ALL),
+ gr AS (SELECT grp, k, o, list_aggregate(r[i:i + o - 1], 'string_agg', ' ') AS g, count(*) AS n FROM w, range(1, 5) a(o), unnest(range(1, len(r) - o + 2)) b(i) GROUP BY ALL),
+ c AS (SELECT grp, o, sum(least(gp.n, coalesce(gr.n, 0))) AS matches, sum(gp.n) AS total FROM gp LEFT JOIN gr USING (grp, k, o, g) GROUP BY grp, o),
+ l AS (SELECT grp, sum(len(p)) AS pred_len, sum(len(r)) AS ref_len FROM w GROUP BY grp)
+ SELECT grp::BIGINT AS grp, o AS "order", matches::BIGINT AS matches, total::BIGINT AS total, pred_len::BIGINT AS pred_len, ref_len::BIGINT AS ref_len FROM c JOIN l USING (grp)""")
+def bleu_counts(spark, d):
+    t = read(spark, d, "benchmark").select("item_id", (F.col("item_id") % 2).alias("grp"), F.expr(_GUESS).alias("p"), F.col("text").alias("r"))
+    out = evalmetrics.bleu_counts(t, "grp", "p", "r", "item_id")
+    return out.withColumn("order", F.col("order").cast("long"))
+
+
+@query()
+def bleu_by_group(spark, d):
+    return evalmetrics.bleu_scores(bleu_counts(spark, d), "grp")
+
+
+@query()
+def rouge_l(spark, d):
+    t = read(spark, d, "benchmark").select("item_id", F.expr(_GUESS).alias("p"), F.col("text").alias("r"))
+    return t.select("item_id", evalmetrics.rouge_l(F.col("p"), F.col("r")).alias("rouge_l"))
+
+
+@query("""SELECT event_type, round(exp(avg(value / 100)), 6) AS ppl, round(CASE WHEN sum(event_id % 7) > 0 THEN sum(value) / sum(event_id % 7) ELSE 0 END, 6) AS rate FROM events GROUP BY event_type""")
+def perplexity_by_group(spark, d):
+    t = read(spark, d, "events")
+    return t.groupBy("event_type").agg(
+        F.round(evalmetrics.perplexity(F.col("value") / 100), 6).alias("ppl"), F.round(evalmetrics.throughput(F.col("value"), F.col("event_id") % 7), 6).alias("rate")
+    )
+
+
+@query("""WITH t AS (SELECT vec_id, label, i, CASE WHEN embedding[i] > 0 THEN 1 ELSE 0 END AS p, CASE WHEN abs(embedding[i]) < 0.05::FLOAT THEN -100 WHEN embedding[i] > 0.1::FLOAT THEN 1 ELSE 0 END AS y FROM embeddings, range(1, 65) r(i)),
+ s AS (SELECT a.label, a.p, b.y FROM t a JOIN t b ON a.vec_id = b.vec_id AND b.i = a.i + 1 WHERE b.y <> -100)
+ SELECT label, count(*) FILTER (p = y) AS correct, count(*) AS total, count(*) FILTER (p = y) / count(*) AS accuracy FROM s GROUP BY label""")
+def token_accuracy(spark, d):
+    p = F.transform("embedding", lambda x: F.when(x > 0, 1).otherwise(0))
+    y = F.transform("embedding", lambda x: F.when(F.abs(x) < F.lit(0.05).cast("float"), -100).when(x > F.lit(0.1).cast("float"), 1).otherwise(0))
+    h = read(spark, d, "embeddings").select("label", evalmetrics.token_hits(p, y).alias("h"))
+    return h.groupBy("label").agg(F.sum("h.correct").alias("correct"), F.sum("h.total").alias("total"), evalmetrics.token_accuracy(F.col("h.correct"), F.col("h.total")).alias("accuracy"))
+
+
+# ---- training logs (events stand in: errors are evaluations, views are training steps, users are runs)
+
+
+@query("""WITH f AS (SELECT *, last_value(CASE WHEN event_type = 'error' THEN {'v': CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END, 'id': event_id} END IGNORE NULLS)
+ OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM events WHERE event_type IN ('error', 'view'))
+ SELECT event_id, e.v AS last_v, e.id AS last_id FROM f WHERE event_type = 'view'""")
+def log_forward_fill(spark, d):
+    t = read(spark, d, "events").filter(F.col("event_type").isin("error", "view"))
+    t = t.select("event_id", "user_id", "ts", "event_type", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("v"), F.col("event_id").alias("id"))
+    filled = trainlog.forward_fill(t, F.col("event_type") == "error", ["v", "id"], ["ts", "event_id"], ["user_id"])
+    return filled.select("event_id", "last_v", "last_id")
+
+
+@query("""SELECT ((event_id + 1 - 1) // 100)::BIGINT AS "window", max(event_id + 1) AS last_step, count(*) FILTER (event_type = 'view') AS correct, count(*) AS total, count(*) FILTER (event_type = 'view') / count(*) AS accuracy
+ FROM events WHERE event_type <> 'error' GROUP BY 1""")
+def log_count_window(spark, d):
+    t = read(spark, d, "events").filter("event_type <> 'error'").select((F.col("event_id") + 1).alias("step"), (F.col("event_type") == "view").cast("long").alias("c"), F.lit(1).cast("long").alias("t"))
+    return trainlog.count_windows(t, "step", 100, "c", "t")
+
+
+@query("""WITH t AS (SELECT event_id AS step, CASE WHEN event_type = 'view' THEN value END AS train_loss FROM events)
+ SELECT * FROM t UNION ALL SELECT (SELECT max(step) + 5 FROM t), arg_max(train_loss, step) FROM t WHERE train_loss IS NOT NULL""")
+def log_final_backfill(spark, d):
+    t = read(spark, d, "events").select(F.col("event_id").alias("step"), F.when(F.col("event_type") == "view", F.col("value")).alias("train_loss"))
+    return trainlog.final_backfill(t, t.agg(F.max("step")).first()[0] + 5)
+
+
+@query("SELECT event_id, user_id * (SELECT max(event_id) FROM events) / (SELECT max(user_id) FROM events) AS axis_step, round(exp(-(value / 100)), 9) AS approx FROM events")
+def log_axis_scale(spark, d):
+    t = trainlog.epoch_axis(read(spark, d, "events"), "user_id", "event_id")
+    return t.select("event_id", "axis_step", F.round(trainlog.approximate_accuracy(F.col("value") / 100), 9).alias("approx"))
+
+
+_DESCRIBE = """SELECT '{c}' AS "column", count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, min(x) AS min, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75, max(x) AS max FROM (SELECT {c}::DOUBLE AS x FROM events)"""
+
+
+@query(" UNION ALL ".join(_DESCRIBE.replace("{c}", c) for c in ("value", "user_id")))
+def log_describe(spark, d):
+    out = trainlog.describe(read(spark, d, "events"), ["value", "user_id"])
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query("SELECT event_id, event_type, value FROM events ORDER BY event_id DESC LIMIT 5")
+def log_tail(spark, d):
+    return trainlog.tail(read(spark, d, "events").select("event_id", "event_type", "value"), 5, "event_id")
+
+
+@query("""SELECT event_id AS step, value FROM events WHERE event_type = 'view' AND value IS NOT NULL""")
+def chart_series(spark, d):
+    return trainlog.series(read(spark, d, "events").filter("event_type = 'view'"), "event_id", "value")
+
+
+@query("SELECT greatest(0, min(value * 100) - 0.05 * (max(value * 100) - min(value * 100))) AS y_min, count(*) AS n FROM events WHERE value IS NOT NULL")
+def chart_axis(spark, d):
+    return trainlog.axis_floor(trainlog.series(read(spark, d, "events"), "event_id", "value", 100.0))
+
+
+def _sides(spark, d, names):
+    t = read(spark, d, "events")
+    pick = lambda i: t.filter(F.col("event_id") % len(names) == i).groupBy(F.col("event_type").alias("metric")).agg(F.round(F.avg("value"), 6).alias("value"))
+    config = t.select(F.col("event_type").alias("metric")).distinct().withColumn("label", F.upper("metric")).withColumn("lower_is_better", F.col("metric") == "error")
+    return evalmetrics.compare(config, **{n: pick(i) for i, n in enumerate(names)})
+
+
+_IMP = "CASE WHEN base IS NULL OR tuned IS NULL OR base = 0 THEN NULL ELSE round(CASE WHEN metric = 'error' THEN (base - tuned) / base ELSE (tuned - base) / abs(base) END * 100, 2) END"
+
+
+@query(f"""WITH s AS (SELECT event_type AS metric, round(avg(value) FILTER (event_id % 2 = 0), 6) AS base, round(avg(value) FILTER (event_id % 2 = 1), 6) AS tuned FROM events GROUP BY event_type),
+ i AS (SELECT *, {_IMP} AS imp FROM s)
+ SELECT upper(metric) AS metric, base AS base_model, tuned AS finetuned_model, CASE WHEN imp > 0 THEN printf('+%.2f%%', imp) WHEN imp < 0 THEN printf('%.2f%%', imp) ELSE 'N/A' END AS improvement FROM i""")
+def metric_compare(spark, d):
+    return sinks.comparison_table(_sides(spark, d, ["base", "tuned"]))
+
+
+@query("""SELECT event_type AS metric, round(avg(value) FILTER (event_id % 3 = 0), 6) AS base, round(avg(value) FILTER (event_id % 3 = 1), 6) AS tuned, round(avg(value) FILTER (event_id % 3 = 2), 6) AS quantised FROM events GROUP BY event_type""")
+def metric_compare3(spark, d):
+    return _sides(spark, d, ["base", "tuned", "quantised"]).select("metric", "base", "tuned", "quantised")
+
+
+@query("""WITH a AS (SELECT event_type AS category, round(avg(value), 6) AS base FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT event_type AS category, round(avg(value), 6) AS tuned FROM events WHERE event_id % 2 = 1 AND event_type <> 'view' GROUP BY 1)
+ SELECT category, base, tuned FROM a LEFT JOIN b USING (category)""")
+def category_metric_join(spark, d):
+    t = read(spark, d, "events")
+    side = lambda rows, n: rows.groupBy(F.col("event_type").alias("category")).agg(F.round(F.avg("value"), 6).alias(n))
+    return side(t.filter("event_id % 2 = 0"), "base").join(side(t.filter("event_id % 2 = 1 AND event_type <> 'view'"), "tuned"), "category", "left")
+
+
+_PATHS = [("run/checkpoint-900", 5), ("run/checkpoint-1000", 3), ("run/checkpoint-final", 9)]
+
+
+@query("SELECT 'run/checkpoint-1000' AS by_number, 'run/checkpoint-final' AS by_time")
+def latest_checkpoint(spark, d):
+    t = spark.createDataFrame(_PATHS, "path string, mtime long")
+    a, b = trainlog.latest_checkpoint(t).select(F.col("path").alias("by_number")), trainlog.latest_checkpoint(t, mtime="mtime").select(F.col("path").alias("by_time"))
+    return a.join(b)
+
+
+_OUTPUT = "CASE WHEN doc_id % 4 = 0 THEN text ELSE text || ' at ' || n_chars || '.5 tokens per second, then ' || (doc_id % 97) || '.25 tokens per second' END"
+
+
+@query(f"""SELECT doc_id, TRY_CAST(regexp_extract_all({_OUTPUT}, '([0-9.]+)\\s*tokens per second', 1)[-1] AS DOUBLE) AS tps FROM documents""")
+def parse_last_number(spark, d):
+    return read(spark, d, "documents").select("doc_id", T.last_match(F.expr(_OUTPUT), r"([\d.]+)\s*tokens per second").try_cast("double").alias("tps"))
+
+
+@query("""SELECT m AS memory, CASE WHEN m >= 70 THEN 8 WHEN m >= 35 THEN 4 WHEN m >= 20 THEN 2 ELSE 1 END AS batch, CASE WHEN m >= 70 THEN 4 WHEN m >= 35 THEN 8 ELSE 16 END AS accum, CASE WHEN m >= 35 THEN 4096 WHEN m >= 20 THEN 2048 ELSE 1024 END AS length
+ FROM (VALUES (80.0::DOUBLE), (40.0::DOUBLE), (24.0::DOUBLE), (16.0::DOUBLE), (70.0::DOUBLE)) t(m)""")
+def config_tiers(spark, d):
+    t = spark.createDataFrame([(m,) for m in (80.0, 40.0, 24.0, 16.0, 70.0)], "memory double")
+    return t.select("memory", mix.tier(F.col("memory")).alias("t")).select("memory", "t.*")
+
+
+@query("SELECT * FROM (VALUES (0, 4, 4096, 8), (1, 2, 4096, 8), (2, 2, 2048, 8), (3, 1, 2048, 16), (4, 1, 1024, 32)) t(turn, batch, length, accum)")
+def oom_schedule(spark, d):
+    return spark.createDataFrame([(i, *x) for i, x in enumerate(mix.fallback_schedule(4, 4096, 8))], "turn int, batch int, length int, accum int")
+
+
+_MESSY = "CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN NULL WHEN 3 THEN ' ' || n_chars || ' ' ELSE n_chars || '.5' END"
+
+
+@query(f"""SELECT doc_id, TRY_CAST(trim({_MESSY}) AS DOUBLE) AS number, coalesce(printf('%.4f', TRY_CAST(trim({_MESSY}) AS DOUBLE)), 'N/A') AS cell FROM documents""")
+def safe_number_format(spark, d):
+    x = T.parsed_number(F.expr(_MESSY))
+    return read(spark, d, "documents").select("doc_id", x.alias("number"), T.cell_text(x).alias("cell"))
+
+
+@query("SELECT source, sum(n_chars)::BIGINT AS bytes, count(*) AS files FROM documents GROUP BY source")
+def size_rollup(spark, d):
+    return quality.size_rollup(read(spark, d, "documents"), F.col("n_chars"), "source")
+
+
+@query("SELECT 'b' AS model, 1.5::DOUBLE AS loss, 0.25::DOUBLE AS em, 7.5::DOUBLE AS speed, 2::BIGINT AS n")
+def metrics_json(spark, d):
+    doc = spark.createDataFrame([("b", 1.5, {"em": 0.25}, [1, 2])], "model string, loss double, tuned map<string,double>, rows array<int>")
+    doc = sinks.upsert_field(doc, "fast", F.struct(F.lit(7.5).alias("speed")))
+    text = doc.select(F.to_json(F.struct("*")).alias("j"))
+    back = text.select(F.from_json("j", "model string, loss double, tuned map<string,double>, rows array<int>, fast struct<speed:double>").alias("x"))
+    return back.select("x.model", "x.loss", F.col("x.tuned")["em"].alias("em"), "x.fast.speed", F.size("x.rows").cast("long").alias("n"))
+
+
+# ---- the whole build
+
+
+@query(f"""WITH {TALKS}, v AS (SELECT 'erocal' AS source, conv_id AS pos, m FROM c WHERE m[-1].role = 'assistant' AND len(list_filter(m, lambda x: x.role = 'user')) > 0 AND trim(m[-1].content) <> '' AND trim(list_filter(m, lambda x: x.role = 'user')[-1].content) <> ''),
+ dd AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'ibranze' ELSE 'vishnuoi' END AS source, doc_id AS pos, [{{'role': 'user', 'content': source}}, {{'role': 'assistant', 'content': text}}] AS m FROM documents),
+ u AS (SELECT * FROM v UNION ALL SELECT * FROM dd),
+ f AS (SELECT *, sha256(list_aggregate(list_transform(list_filter(m, lambda x: x.role <> 'system'), lambda x: x.role || ':' || {SQUEEZE % 'lower(x.content)'}), 'string_agg', chr(10))) AS fp FROM u),
+ k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY CASE source WHEN 'ibranze' THEN 0 WHEN 'vishnuoi' THEN 1 ELSE 2 END, pos) AS r FROM f) WHERE r = 1),
+ s AS (SELECT source, pos, len(regexp_extract_all({RENDER}, '[^{DWS[1:]}+')) AS words, length(list_filter(m, lambda x: x.role = 'user')[-1].content) AS ul, length(list_aggregate(list_transform(list_filter(m, lambda x: x.role = 'assistant'), lambda x: x.content), 'string_agg', ' ')) AS al FROM k),
+ w AS (SELECT * FROM s WHERE words <= 600),
+ n AS (SELECT source, count(*) AS n, CASE source WHEN 'ibranze' THEN 0.5::DOUBLE WHEN 'vishnuoi' THEN 0.3 ELSE 0.2 END AS share FROM w GROUP BY source),
+ t AS (SELECT source, least(round_even(least(min(n / share) OVER (), 100000) * share, 0)::BIGINT, n) AS k FROM n),
+ p AS (SELECT source, pos, ul, al FROM (SELECT w.*, row_number() OVER (PARTITION BY source ORDER BY {keyed('source, pos')}, pos) AS r FROM w) JOIN t USING (source) WHERE r <= k),
+ x AS (SELECT *, row_number() OVER (ORDER BY {keyed("source || ':' || pos")}, source || ':' || pos) <= ceil((SELECT count(*) FROM p) * 0.1) AS test FROM p)
+ SELECT source, test, count(*) AS n, avg(ul) AS avg_user_len, avg(al) AS avg_asst_len FROM x GROUP BY source, test""")
+def build_corpus_e2e(spark, d):
+    docs = read(spark, d, "documents")
+    made = docs.select(
+        F.col("doc_id").alias("pos"), F.array(M.message("user", F.col("source")), M.message("assistant", F.col("text"))).alias("messages"), F.when(F.col("doc_id") % 2 == 0, "ibranze").otherwise("vishnuoi").alias("source")
+    )
+    m = F.col("messages")
+    valid = talks(spark, d).filter(M.is_valid(m)).unionByName(made)
+    kept = pipelines.unique(valid).filter(filters.short_enough(T.word_count(M.rendered(m)), 600))
+    mixed = mix.apply_mix(kept, {"ibranze": 50, "vishnuoi": 30, "erocal": 20}, mix.TARGET_TOTAL)
+    mixed = mixed.withColumn("key", F.concat("source", F.lit(":"), "pos"))
+    train, test = mix.split(mixed, 0.1, key="key")
+    both = train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
+    return both.groupBy("source", "test").agg(F.count("*").alias("n"), F.avg(F.length(M.last_user(m))).alias("avg_user_len"), F.avg(F.length(M.assistant_text(m))).alias("avg_asst_len"))

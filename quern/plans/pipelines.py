@@ -106,7 +106,7 @@ def build_strict(
     df = df.withColumn("pos", F.concat_ws(":", F.lpad(F.col("pos.source_no").cast("string"), 6, "0"), F.lpad(F.col("pos.native").cast("string"), 20, "0")))
     if embed is not None:
         keyed = embed(df.withColumn("user", last_user(m))).withColumn("__key", F.xxhash64("pos"))
-        df = dedup.semantic_dedup(keyed, threshold, "__key", "embedding", F.length(assistant_text(m))).drop("__key", "embedding", "user")
+        df = dedup.semantic_dedup(keyed, threshold, "__key", "embedding", F.length(assistant_text(m)), position=F.col("pos")).drop("__key", "embedding", "user")
     else:
         warnings.warn("no embeddings: semantic dedup was skipped", stacklevel=2)
     df = df.filter(filters.short_enough(count_tokens(rendered(m)), max_length))
