@@ -128,10 +128,12 @@ def route(halves: np.ndarray, points: np.ndarray, radii: np.ndarray) -> tuple[np
     for _ in range(depth):
         d = _popcount(halves[rows] ^ points[nodes])
         left = d <= radii[nodes]
-        asks = d == radii[nodes] + 1
-        rows = np.concatenate([rows, rows[asks]])
-        home = np.concatenate([home, np.zeros(int(asks.sum()), bool)])
-        nodes = np.concatenate([np.where(left, 2 * nodes + 1, 2 * nodes + 2), 2 * nodes[asks] + 1])
+        asks_left = d == radii[nodes] + 1
+        # whoever is a guest here meets residents only, so it must ask on both sides
+        asks_right = ~home & (d == radii[nodes])
+        rows = np.concatenate([rows, rows[asks_left], rows[asks_right]])
+        home = np.concatenate([home, np.zeros(len(rows) - len(home), bool)])
+        nodes = np.concatenate([np.where(left, 2 * nodes + 1, 2 * nodes + 2), 2 * nodes[asks_left] + 1, 2 * nodes[asks_right] + 2])
     return rows, nodes - len(points), home
 
 
