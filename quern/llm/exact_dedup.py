@@ -46,7 +46,7 @@ def merge_runs(digests: DataFrame, keep: str = "smallest", runs: int = RUNS, fan
     """One row per text: its digest key, ``keep_id`` and ``group_size``."""
     pick = {"smallest": F.min, "largest": F.max}[keep]
     rounds, width = 0, 1
-    while width < runs:
+    while rounds == 0 or width < runs:
         rounds, width = rounds + 1, width * fan_in
     run = F.pmod(F.spark_partition_id(), F.lit(width)).cast("long")
     entries = digests.select("__id", *_KEY, F.lit(1).cast("long").alias("__n"), run.alias("__run"))
