@@ -1,0 +1,286 @@
+import hashlib
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from quern.llm import decontaminate, langid, packing, pii, substring_dedup
+
+from words import prose
+
+SMALL = "/root/testdata/sf0.001"
+
+# ---- personal data
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def good(kind, m):
+    digits = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in m.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 8 <= len(digits) <= 15
+    return True
+
+
+def base_spans(text):
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in BASE.items() for m in re.finditer(p, text or "") if good(k, m[0])]
+
+
+def check_pii(df):
+    want = sorted((str(r.doc_id), *(sum(s.startswith(k + ":") for s in (b := base_spans(r.text))) for k in BASE), hashlib.sha256(",".join(b).encode()).hexdigest()) for r in df.collect())
+    got = pii.pii_report(df).collect()
+    assert sorted((str(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
+    for r in got:
+        assert hashlib.sha256(",".join(s for s in r.spans.split(",") if s.split(":")[0] in BASE).encode()).hexdigest() == r.base_sha256
+        assert len(r.scores.split(",")) == len(r.spans.split(","))
+
+
+@pytest.mark.parametrize("folder", [SMALL, "/root/testdata/sf0.01"])
+def test_pii_of_tables(spark, folder):
+    check_pii(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+def test_pii_of_random_texts(spark):
+    rng = random.Random(2)
+    bits = ["a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "256.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 123-4567", "+12", "é🙂", " ", ".", "-", "0", "007.8.9.10", "x@y", "@", "+", "9" * 18]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))) for i in range(600)]
+    check_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_pii_edges(spark, edge_docs, no_docs):
+    check_pii(edge_docs)
+    assert pii.pii_report(no_docs).count() == 0
+    many = spark.createDataFrame([(1, "1.1.1.1 " * 3000), (2, "1" * 300_000), (3, "a" * 300_000 + "@"), (4, "x@" + "a." * 50_000 + "b")], "doc_id long, text string")
+    check_pii(many)
+
+
+def test_added_spans_and_context(spark):
+    rows = [(1, "my iban GB82 WEST 1234 5698 7654 32 ok"), (2, "GB82 WEST 1234 5698 7654 33"), (3, "ssn 123-45-6789"), (4, "number 123-45-6789"), (5, "mail a@b.cd"), (6, "see a@b.cd")]
+    got = {r.doc_id: r for r in pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_iban, got[2].n_iban, got[3].n_ssn, got[4].n_ssn) == (1, 0, 1, 0)
+    assert (got[5].scores, got[6].scores) == ("1.0", "0.8")
+
+
+def test_redaction(spark):
+    from pyspark.sql import functions as F
+
+    found = pii.find_pii(spark.createDataFrame([(1, "é a@b.cd, 1.2.3.4!")], "doc_id long, text string"))
+    assert found.select(pii.redacted(F.col("text"), F.concat("email", "ip")).alias("t")).first().t == "é [email], [ip]!"
+
+
+# ---- packing
+
+
+def whole(tok, text):
+    return np.array([*tok.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+
+
+def check_packing(df, size=packing.SIZE, most=packing.OPEN):
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    rows = packing.pack(df, size=size, most=most).collect()
+    docs, seqs = {}, {}
+    for r in rows:
+        docs.setdefault(r.doc_id, []).append(r)
+        seqs.setdefault(r.sequence_id, []).append(r)
+    for r in df.collect():
+        ids, at = whole(tok, r.text), 0
+        if sum(1 for x in df.collect() if x.doc_id == r.doc_id) > 1:
+            continue
+        for p in sorted(docs[r.doc_id], key=lambda p: p.start):
+            assert p.start == at and p.doc_tokens == len(ids)
+            assert p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes())
+            at += p.length
+        assert at == len(ids)
+    padding = 0
+    for s in seqs.values():
+        at = 0
+        for p in sorted(s, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= size
+        padding += 0 if at & (at - 1) == 0 else size - at
+    total = sum(r.length for r in rows)
+    assert total == sum(len(whole(tok, r.text)) for r in df.collect())
+    return padding / max(total, 1), len(rows)
+
+
+@pytest.mark.parametrize("size,most", [(4096, 64), (256, 4)])
+def test_packing_round_trip(spark, size, most):
+    share, _ = check_packing(spark.read.parquet(f"{SMALL}/documents.parquet"), size, most)
+    assert share < (0.01 if size == 4096 else 0.1)
+
+
+def test_packing_edges(edge_docs, no_docs):
+    check_packing(edge_docs)
+    assert packing.pack(no_docs).count() == 0
+
+
+def test_ids_by_pieces():
+    ids, rng = packing.Ids(packing.tokenizer_path()), random.Random(4)
+    letters = "abzÀéßÿŸĀ'sS.,!?:;-_<|>0129 \t\n\x0b\x0c\r\x1c\x85\u00a0\u2003\u3000é\u0301中한🙂İΣς"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert ids.of(text) == (lambda x: struct.pack(f"<{len(x)}I", *x))(ids.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+# ---- decontamination
+
+
+def slow_hits(text, items, window=10):
+    words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    w, hit, met = words(text), set(), set()
+    for item, t in items:
+        v = words(t)
+        n = min(window, len(v))
+        for i in range(len(v) - n + 1 if n else 0):
+            for j in range(len(w) - n + 1):
+                if w[j : j + n] == v[i : i + n]:
+                    hit |= set(range(j, j + n))
+                    met.add(item)
+    return len(w), len(hit), met
+
+
+@pytest.mark.parametrize("shard_words", [10**6, 40])
+def test_decontamination_matches_brute_force(spark, shard_words):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    items = [(i, text(rng.choice([0, 3, 6, 10, 12, 30]))) for i in range(12)] + [(3, text(11)), (99, None)]
+    docs = [(i, text(rng.randint(0, 60))) for i in range(80)]
+    docs += [(100 + i, f"x {t or ''} y, {(t or '').upper()}") for i, t in items]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    from pyspark.sql import functions as F
+
+    found = decontaminate.with_hits(d, b, shard_words=shard_words)
+    n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, s: a + s["b"] - s["a"])
+    got = {r.doc_id: (r.w, r.h, set(r.m)) for r in found.select("doc_id", F.col("__n_words").alias("w"), n_hit.alias("h"), F.col("__items").alias("m")).collect()}
+    want = {}
+    for i, t in docs:
+        n, h, m = slow_hits(t, items)
+        want[i] = (n, h, {str(x) for x in m})
+    assert got == want
+
+
+def test_decontamination_edges(spark, edge_docs, no_docs):
+    bench = spark.createDataFrame([(1, "hello there"), (None, "müller"), (2, None), (3, "...")], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.hits(edge_docs, bench).collect()}
+    assert (got[4].n_words, got[4].n_hit, got[4].n_items) == (5, 4, 1) and got[8].n_hit == 1 and got[1].n_words == 0
+    assert decontaminate.hits(edge_docs, bench.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate.hits(no_docs, bench).count() == 0
+    cut = decontaminate.remove_spans(edge_docs, bench, max_coverage=0.9)
+    assert cut.columns == edge_docs.columns
+    assert {r.text for r in cut.collect() if r.doc_id == 4} == {"! x"}
+    assert 4 not in {r.doc_id for r in decontaminate.remove_spans(edge_docs, bench, max_coverage=0.0).collect()}
+
+
+# ---- language
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.predict(docs, langid.train(docs))
+    held = got.filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(held) > 200 and sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in held)
+    assert {r.held_out for r in got.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1} == {True}
+
+
+def test_forward_sums_all_segmentations():
+    known = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "▁ab": 5}
+    p = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.2], [1e-6]])
+    got = np.exp(langid.Lattice(["▁ab", "▁az"], langid.beginnings(known)).totals(p)).ravel()
+    assert got == pytest.approx([0.2 + 0.1 * 0.15 + 0.05 * 0.3 + 0.1 * 0.2 * 0.3, (0.05 + 0.1 * 0.2) * 1e-6])
+
+
+def test_language_edges(spark, edge_docs, no_docs):
+    model = langid.train(edge_docs)
+    got = {(r.doc_id, r.lang_pred) for r in langid.predict(edge_docs, model).collect()}
+    assert {(1, "und"), (2, "und"), (3, "und"), (7, "und")} <= got and all(p != "und" for i, p in got if i in (4, 5, 6, 8, 9))
+    assert langid.predict(no_docs, langid.train(no_docs)).count() == 0
+    assert {r.lang_pred for r in langid.predict(edge_docs, langid.train(no_docs)).collect()} == {"und"}
+
+
+# ---- passages
+
+
+def test_windows_are_the_trees_wide_nodes():
+    rng = np.random.default_rng(1)
+    for n in (5, 46, 47, 200, 333):
+        tokens = rng.integers(0, 50, n).astype(np.uint64)
+        c, left, right = substring_dedup.compact_windows(tokens, 46, 3)
+        order = (substring_dedup._mix(tokens + np.uint64(3 * int(substring_dedup._M2) & (2**64 - 1))) >> np.uint64(24)).tolist()
+        want = []
+
+        def grow(a, b):
+            if b - a >= 46:
+                at = min(range(a, b), key=lambda i: (order[i], i))
+                want.append((at, a, b - 1))
+                grow(a, at)
+                grow(at + 1, b)
+
+        grow(0, n)
+        assert sorted(zip(c.tolist(), left.tolist(), right.tolist())) == sorted(want)
+
+
+def test_passages_match_brute_force(spark):
+    """Every document that has 50 words in a row of an earlier one is found, and what is found is near."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = {r.doc_id: r.text.encode().translate(substring_dedup._FOLD).split() for r in df.collect()}
+    seen, want = {}, set()
+    for i in sorted(words):
+        runs = {b" ".join(words[i][k : k + 50]) for k in range(len(words[i]) - 49)}
+        if any(r in seen for r in runs):
+            want.add(i)
+        for r in runs:
+            seen.setdefault(r, i)
+    got = substring_dedup.shared_passages(df).collect()
+    assert want <= {r.doc_id for r in got}
+    for r in got:
+        assert r.source_id < r.doc_id and r.words == r.end - r.start
+        own = {tuple(words[r.doc_id][k : k + 5]) for k in range(r.start, r.end - 4)}
+        other = {tuple(words[r.source_id][k : k + 5]) for k in range(len(words[r.source_id]) - 4)}
+        assert len(own & other) >= 0.8 * len(own)
+
+
+def test_passage_in_many_documents(spark):
+    rng = random.Random(6)
+    shared = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}") for i in range(300)] + [(1000 + i, prose(rng, 150)) for i in range(100)]
+    got = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id for r in got} == set(range(1, 300))
+    assert len(got) < 1500
+
+
+def test_near_passage_is_found_and_cut(spark):
+    rng = random.Random(7)
+    base = prose(rng, 400).split()
+    changed = list(base)
+    for k in (50, 150, 250, 350):
+        changed[k] = "changed"
+    df = spark.createDataFrame([(1, " ".join(base)), (2, "before it " + " ".join(changed) + " behind it"), (3, prose(rng, 400))], "doc_id long, text string")
+    got = substring_dedup.shared_passages(df).collect()
+    assert {(r.doc_id, r.source_id) for r in got} == {(2, 1)} and sum(r.words for r in got) > 380
+    texts = {r.doc_id: r.text for r in substring_dedup.remove_repeats(df).collect()}
+    assert texts[1] == " ".join(base) and len(texts[2].split()) < 25
+
+
+def test_passage_edges(edge_docs, no_docs):
+    assert substring_dedup.shared_passages(no_docs).count() == 0
+    assert substring_dedup.shared_passages(edge_docs).count() == 0
+    assert substring_dedup.remove_repeats(edge_docs).count() == edge_docs.count()
