@@ -6,6 +6,7 @@ import html
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed value: the white space of Python's str.strip and of \s in its patterns, as a Java class.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -25,7 +26,7 @@ def squeezed(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, rf"{WS}+", " "), r"^\x20+|\x20+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s):  # noqa: ANN001, ANN201
     return s.map(lambda x: None if x is None else html.unescape(x))
 

@@ -16,7 +16,8 @@ from quern.functions.messages import MESSAGES, SYSTEM_PROMPT, detected, message,
 from quern.functions.text import clean, strip_html
 from quern.operators import filters
 
-CANONICAL = T.StructType([T.StructField("pos", T.LongType()), T.StructField("messages", T._parse_datatype_string(MESSAGES)), T.StructField("source", T.StringType())])
+_MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
+CANONICAL = T.StructType([T.StructField("pos", T.LongType()), T.StructField("messages", T.ArrayType(_MESSAGE)), T.StructField("source", T.StringType())])
 API_SCHEMA = "member string, summary string, signature string, url string, example string"
 HOLDOUT_SCHEMA = "category string, question string, reference string"
 # Fixed value: what stands between the system prompt and an injected reference.

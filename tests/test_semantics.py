@@ -1,0 +1,271 @@
+"""Golden edge cases and properties of the engine's own operators."""
+
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quern.functions import messages as M
+from quern.functions import text as T
+from quern.operators import dedup, evalmetrics, filters, mix, synth, trainlog
+from quern.plans import pipelines
+from quern.sources import loaders, sinks
+
+
+def one(spark, col, **values):
+    df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()]) if values else spark.range(1)
+    return df.select(col.alias("x")).first()["x"]
+
+
+def talk(*turns):
+    return F.array(*[M.message(r, F.lit(c)) for r, c in turns]) if turns else F.array().cast(M.MESSAGES)
+
+
+def test_clean(spark):
+    assert one(spark, T.clean(F.lit(None))) == ""
+    assert one(spark, T.clean(F.lit("  a \x1c "))) == "a"
+
+
+def test_html_order(spark):
+    rows = spark.createDataFrame([("&lt;b&gt;x",), ("List<int> a",), (None,)], "s string").select(T.strip_html(F.col("s")).alias("x"))
+    assert [r.x for r in rows.collect()] == ["<b>x", "List a", ""]
+
+
+def test_detected_pairs(spark):
+    df = spark.createDataFrame([("", "q", "a"), ("i", "q", "a"), (None, None, "a"), ("i", " ", None)], "instruction string, input string, output string")
+    got = [r.m for r in df.select(M.detected(df).alias("m")).collect()]
+    assert [m[1].content if m else None for m in got] == ["q", "i\n\nq", None, None]
+
+
+def test_detected_conversations(spark):
+    df = spark.createDataFrame([([("tool", "x"), ("gpt", " y ")], "q", "a"), ([], "q", "a")], "conversations array<struct<from:string,value:string>>, question string, answer string")
+    got = [[(t.role, t.content) for t in r.m] for r in df.select(M.detected(df).alias("m")).collect()]
+    assert got[0][1:] == [("user", "x"), ("assistant", "y")]
+    assert got[1][1:] == [("user", "q"), ("assistant", "a")]
+
+
+def test_system_is_kept(spark):
+    assert one(spark, M.with_system(talk(("system", "mine"), ("user", "u"))))[0].content == "mine"
+    assert one(spark, M.with_system(talk()))[0].content == M.SYSTEM_PROMPT
+
+
+@pytest.mark.parametrize("turns", [[("user", "u")], [("assistant", "a")], [("user", "u"), ("assistant", " ")], [], [("user", " "), ("assistant", "a")]])
+def test_invalid(spark, turns):
+    assert one(spark, M.is_valid(talk(*turns))) is False
+
+
+def test_alpaca(spark):
+    a = one(spark, M.alpaca(talk(("system", "S"), ("user", "u1"), ("assistant", "a1"), ("user", "u2"), ("assistant", "a2"))))
+    assert (a.instruction, a.input, a.output) == ("[System] S\n[User] u1\n[Assistant] a1\n[User] u2", "", "a2")
+    assert one(spark, M.alpaca(talk())).output == ""
+
+
+@pytest.mark.parametrize("text,kept", [("x;", True), ("help", False), ("이거 왜 안 돼?", False), ("도help me with this thing", True), ("...", False), ("too short", False), ("one two three four", True)])
+def test_ambiguous(spark, text, kept):
+    assert one(spark, filters.unambiguous_text(F.lit(text))) is kept
+
+
+@pytest.mark.parametrize("text,kept", [("I guess ```x```", True), ("I guess Foo.Bar", True), ("I guess so", False), ("아마도 그래요", False), ("sure", True)])
+def test_speculative(spark, text, kept):
+    assert one(spark, filters.grounded_text(F.lit(text))) is kept
+
+
+@pytest.mark.parametrize("text,kept", [("foo.rigidbody.x", True), ("this.rigidbody.x", False), ("camera here", True), ("the camera, then", False), ("new WWW", False), ("WWWForm f; WWW w", False), ("WWWForm\nWWW", False), ("WWWForm x\nWWW", True)])
+def test_deprecated(spark, text, kept):
+    assert one(spark, filters.up_to_date(talk(("assistant", text)))) is kept
+
+
+def test_meta(spark):
+    df = spark.createDataFrame([("abc", "1"), ("9", None), ("9", "false"), ("9", "17"), ("4", "1"), (None, "yes")], "score string, accepted string")
+    assert [r.x for r in df.select(filters.meta_ok(df).alias("x")).collect()] == [True, False, False, True, False, True]
+    df = spark.createDataFrame([(5, True), (4, True), (5, None)], "votes int, is_accepted boolean")
+    assert [r.x for r in df.select(filters.meta_ok(df).alias("x")).collect()] == [True, False, False]
+
+
+def test_priority(spark):
+    def kept(rows):
+        df = spark.createDataFrame(rows, "pos long, source string, fp string")
+        return dedup.by_priority(df, "fp", "source", F.col("pos"), priority=dedup.active_priority(df)).first()["source"]
+
+    assert kept([(0, "erocal", "k"), (1, "vishnuoi", "k"), (2, "ibranze", "k")]) == "ibranze"
+    assert kept([(0, "erocal", "k"), (1, "ibranze", "k")]) == "erocal"
+
+
+def test_semantic_chain(spark):
+    nodes = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4)], "vec_id long, rank long")
+    pairs = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert sorted(r.vec_id for r in dedup.greedy_keep(nodes, pairs).collect()) == [1, 3, 4]
+
+
+def test_similar_pairs_by_planes_finds_close_ones(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    base = rng.standard_normal((60, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, base + 0.01 * rng.standard_normal(base.shape)]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = {(r.a, r.b) for r in dedup.similar_pairs(df, 0.95).collect()}
+    assert exact == {(i, i + 60) for i in range(60)}
+    assert {(r.a, r.b) for r in dedup.similar_pairs(df, 0.95, exact=False).collect()} == exact
+
+
+def test_quotas():
+    assert mix.quotas({"a": 100, "b": 10}, {"a": 50, "b": 50}, None) == {"a": 10, "b": 10}
+    assert mix.quotas({"a": 100}, {"a": 50, "b": 50}, 20) == {"a": 20}
+    with pytest.raises(ValueError):
+        mix.quotas({}, {"a": 1}, None)
+
+
+@given(st.dictionaries(st.sampled_from("abcde"), st.integers(1, 1000), min_size=1), st.dictionaries(st.sampled_from("abcde"), st.integers(1, 100), min_size=1), st.integers(1, 5000))
+def test_quotas_never_exceed(counts, recipe, target):
+    if not set(counts) & set(recipe):
+        return
+    got = mix.quotas(counts, recipe, target)
+    assert all(n <= counts[s] for s, n in got.items())
+    assert sum(got.values()) <= target + len(got)
+
+
+def test_caps_and_split(spark):
+    df = spark.range(100).select(F.col("id").alias("pos"), F.when(F.col("id") < 80, "a").otherwise("b").alias("source"))
+    assert {r.source: r["count"] for r in mix.cap_per_source(df, {"a": 5, "b": None}).groupBy("source").count().collect()} == {"a": 5, "b": 20}
+    train, test = mix.split(df, 0.05)
+    assert (train.count(), test.count(), train.join(test, "pos").count()) == (95, 5, 0)
+
+
+def test_schedule_and_shares():
+    assert mix.fallback_schedule(4, 4096, 8) == [(4, 4096, 8), (2, 4096, 8), (2, 2048, 8), (1, 2048, 16), (1, 1024, 32)]
+    assert mix.abstain_rows(98_000, 0.02) == 2000
+    assert mix.abstain_rows(10, 0.9) == 10
+
+
+def test_abstain(spark):
+    assert synth.abstain(spark, 5000).count() == 2120
+    assert synth.abstain(spark, -1).count() == 0
+
+
+@pytest.mark.parametrize("base,tuned,imp,label", [(0.0, 1.0, None, "N/A"), (None, 1.0, None, "N/A"), (2.0, 2.0, 0.0, "N/A"), (2.0, 3.0, 50.0, "+50.00%"), (2.0, 1.0, -50.0, "-50.00%")])
+def test_improvement(spark, base, tuned, imp, label):
+    i = evalmetrics.improvement(F.lit(base).cast("double"), F.lit(tuned).cast("double"))
+    assert one(spark, i) == imp
+    assert one(spark, evalmetrics.improvement_label(i)) == label
+
+
+def test_forward_fill_takes_the_newest_whole(spark):
+    df = spark.createDataFrame([(1, None, 0.5, 0.9), (2, 1.0, None, None), (3, None, 0.4, None), (4, 1.0, None, None)], "step long, loss double, eval_loss double, acc double")
+    got = trainlog.forward_fill(df, F.col("eval_loss").isNotNull(), ["eval_loss", "acc"], ["step"])
+    assert [(r.last_eval_loss, r.last_acc) for r in got.orderBy("step").collect()] == [(0.5, 0.9), (0.4, None)]
+
+
+def test_backfill_only_if_the_last_step_is_missing(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, None)], "step long, train_loss double")
+    assert trainlog.final_backfill(df, 2).count() == 2
+    assert trainlog.final_backfill(df, 3).filter("step = 3").first()["train_loss"] == 0.5
+
+
+SPACES = "".join(chr(c) for c in range(0x3100) if chr(c).isspace())
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=st.sampled_from("abAB한글éß.;?'" + SPACES), max_size=30), min_size=20, max_size=60))
+def test_text_functions_match_python(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    rows = df.select("s", T.clean(F.col("s")).alias("c"), T.word_count(F.col("s")).alias("w"), M.fingerprint(F.array(M.message("user", F.col("s")))).alias("f")).collect()
+    import hashlib
+
+    for r in rows:
+        assert r.c == r.s.strip()
+        assert r.w == len(r.s.split())
+        assert r.f == hashlib.sha256(f"user:{re.sub(chr(92) + 's+', ' ', r.s.lower()).strip()}".encode()).hexdigest()
+
+
+def test_sources_round_trip(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"question": "q", "answer": "a"}\n{"instruction": "i", "input": "x", "output": "o"}\n{"messages": [{"role": "user", "content": "u"}]}\n')
+    got = loaders.json_lines(spark, str(tmp_path / "a.jsonl")).collect()
+    assert [r.source for r in got] == ["perf"] * 3 and [len(r.messages) for r in got] == [3, 3, 2]
+    (tmp_path / "b.jsonl").write_text('{"member": "A", "summary": "s"}\n\nnot json\n{"member": "", "summary": "s"}\n')
+    assert loaders.api_entries(spark, str(tmp_path / "b.jsonl")).count() == 1
+    (tmp_path / "s.json").write_text('{"epoch": 2.0, "log_history": [{"step": 1, "loss": 0.5}, {"step": 1, "eval_loss": 0.4}]}')
+    state = loaders.trainer_state(spark, str(tmp_path / "s.json"))
+    assert state.filter(trainlog.is_train()).count() == 1 and state.filter(trainlog.is_eval()).count() == 1
+    for i in (9, 10):
+        (tmp_path / f"run/checkpoint-{i}").mkdir(parents=True)
+        (tmp_path / f"run/checkpoint-{i}/w.bin").write_bytes(b"x" * i)
+    cps = loaders.checkpoints(spark, str(tmp_path / "run"))
+    assert trainlog.latest_checkpoint(cps).first()["path"].endswith("checkpoint-10") and cps.agg(F.sum("bytes")).first()[0] == 19
+    assert loaders.from_rows(spark, None).count() == 0
+    with pytest.raises(ValueError):
+        loaders.load(["nothing"], {})
+    with pytest.warns(UserWarning):
+        assert loaders.load(["nothing"], {}, strict=False) == {}
+    assert loaders.split_or_first({"x": 1}) == 1
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    log = spark.createDataFrame([(1.0, 1, 0.5, None, None, None, 0.1, None, None)], trainlog.LOG_SCHEMA)
+    sinks.append_log(log, str(tmp_path / "log"))
+    sinks.append_log(log, str(tmp_path / "log"))
+    assert loaders.training_log(spark, str(tmp_path / "log")).count() == 2
+    table = spark.createDataFrame([("Loss", 2.0, 1.0, "+50.00%"), ("BLEU", None, 1.0, "N/A")], "metric string, base_model double, finetuned_model double, improvement string")
+    sinks.metrics_csv(table, str(tmp_path / "m"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "m")).count() == 2
+    sinks.metrics_json(table.limit(1), str(tmp_path / "j"))
+    assert loaders.json_document(spark, str(tmp_path / "j")).count() == 1
+    assert "| Loss | 2.0000 | 1.0000 | +50.00% |" in sinks.markdown_report(table, series=["loss"])
+    sinks.json_lines(table, str(tmp_path / "k"))
+    assert sinks.mirror(str(tmp_path / "k"), str(tmp_path / "copy"))[0] > 0
+    with pytest.warns(UserWarning):
+        assert sinks.mirror(str(tmp_path / "nowhere"), str(tmp_path / "copy2")) is None
+
+
+def rows_of(spark, n, source):
+    df = spark.range(n).select(F.col("id").alias("pos"), F.concat(F.lit(f"how does {source} number "), F.col("id").cast("string"), F.lit(" work")).alias("q"), F.concat(F.lit(f"answer {source} "), F.col("id").cast("string")).alias("a"))
+    return df.select("pos", M.pair(F.col("q"), F.col("a")).alias("messages"), F.lit(source).alias("source"))
+
+
+def test_builds(spark):
+    sources = {s: rows_of(spark, n, s) for s, n in (("ibranze", 40), ("erocal", 30), ("hypersniper", 20))}
+    train, test = pipelines.build_corpus(sources, recipe={"ibranze": 50, "erocal": 50}, val_ratio=0.1)
+    assert (train.count(), test.count()) == (54, 6)
+    first, second = pipelines.build_curriculum(sources, extra={"perf": rows_of(spark, 10, "perf")})
+    assert first[0].count() + first[1].count() == 57 and second[0].count() > 0
+    with pytest.warns(UserWarning):
+        train, test, report = pipelines.build_strict(sources, {"ibranze": 50, "hypersniper": 50, "gone": 5}, output="alpaca", abstain_ratio=0.2)
+    assert train.count() + test.count() == 50 and {r.source: r.n for r in report.collect()} == {"ibranze": 20, "hypersniper": 20, "abstain": 10}
+    with pytest.raises(ValueError):
+        pipelines.to_format(sources["erocal"], "text")
+    with pytest.raises(ValueError):
+        pipelines.build_corpus(sources, output="alpaca")
+
+
+def test_strict_with_embeddings(spark):
+    sources = {"ibranze": rows_of(spark, 12, "ibranze")}
+    same = lambda df: df.withColumn("embedding", F.array(F.lit(1.0), F.lit(0.0)))
+    train, test, _ = pipelines.build_strict(sources, {"ibranze": 1}, embed=same, abstain_ratio=0.0, val_ratio=0.0)
+    assert train.count() + test.count() == 1
+
+
+def test_observation(spark):
+    kept, seen = filters.keep(spark.range(10), F.col("id") < 3, "stage")
+    assert kept.count() == 3 and seen.get == {"before": 10, "after": 3}
+
+
+def test_stream(spark, tmp_path):
+    from quern.streaming import trainlog as stream
+
+    rows = [("r", 1, False, 2.0, None, 5, 10), ("r", 2, True, 0.7, 0.5, None, None), ("r", 3, False, 1.5, None, 5, 5), ("r", 4, False, 1.0, None, 5, 5)]
+    spark.createDataFrame(rows, stream.EVENTS).coalesce(1).write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema(stream.EVENTS).parquet(str(tmp_path / "in"))
+    q = stream.monitored(events, 2).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = [(r.step, r.last_eval_loss, r.window_accuracy) for r in spark.table("monitored").orderBy("step").collect()]
+    assert got == [(1, None, None), (3, 0.7, None), (4, 0.7, 1.0)] or got == [(1, None, None), (3, 0.7, None), (4, 0.7, 0.75)]
+
+
+def test_keyword_stream(spark, tmp_path):
+    spark.createDataFrame([("Unity a\n\nb",), ("other\n\nb",), ("unity alone",)], "text string").write.parquet(str(tmp_path / "in"))
+    s = loaders.keyword_stream(spark, str(tmp_path / "in"), "text string")
+    q = s.writeStream.format("memory").queryName("kw").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert spark.table("kw").count() == 1
