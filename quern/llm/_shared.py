@@ -38,3 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+
+
+def per_process(key: str, make):
+    """make(), kept by this worker process for later tasks with the same key. One object at a time is kept. Functions reach
+    workers by value, so their own globals don't outlive a task; a module entry does."""
+    import sys
+    import types
+
+    home = sys.modules.setdefault("_quern_process", types.ModuleType("_quern_process"))
+    if getattr(home, "key", None) != key:
+        home.key, home.kept = None, None
+        home.kept = make()
+        home.key = key
+    return home.kept

@@ -16,20 +16,24 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm._shared import stored
+from quern.llm._shared import per_process, stored
 
 SIZE = 4096
 OPEN = 64
 GROUP = 32
 MIN_CUT = 32
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 CACHED_BYTES = 64
+#: Pieces of Latin letters with ASCII marks behind them, which need no general normalising.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 _SCHEMA = ", ".join(f"{c} bigint" for c in _COLUMNS)
 
@@ -40,11 +44,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else the next free one from U+0100."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    free = iter(range(0x100, 0x200))
+    return [chr(b if b in prints else next(free)) for b in range(256)]
+
+
 class Ids:
     """Token ids of a text as little-endian uint32 bytes, by pieces between ASCII white space.
 
     The vocabulary's pre-tokenizer drops white space and no token crosses it, so the ids of a text are those of its
-    pieces in turn; pieces recur, and their ids are kept.
+    pieces in turn; pieces recur, and their ids are kept. A new piece of Latin letters and marks is lower-cased and given straight to the
+    vocabulary's merges; any other goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -54,10 +66,27 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+        self.marks = {"": []}
+
+    def _plain(self, piece: str) -> bytes | None:
+        parts = _PLAIN.fullmatch(piece)
+        if not parts:
+            return None
+        word, marks = parts.groups()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.merge(word)]
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks = {"": []}
+            self.marks[marks] = [t.id for t in self.merge(marks)]
+        ids += self.marks[marks]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: str | None) -> bytes:
-        import numpy as np
-
         pieces = (text or "").encode("utf-8", "replace").split()
         known = self.known
         try:
@@ -66,10 +95,16 @@ class Ids:
             pass
         if len(known) > CACHED_WORDS:
             known.clear()
-        missing = [p for p in dict.fromkeys(pieces) if p not in known]
-        own = {}
-        for p, e in zip(missing, self.tokenizer.encode_batch_fast([p.decode() for p in missing], add_special_tokens=False)):
-            (known if len(p) <= CACHED_BYTES else own)[p] = np.array(e.ids, "<u4").tobytes()
+        own, hard = {}, []
+        for p in dict.fromkeys(pieces):
+            if p not in known:
+                ids = self._plain(p.decode())
+                if ids is None:
+                    hard.append(p)
+                else:
+                    (known if len(p) <= CACHED_BYTES else own)[p] = ids
+        for p, e in zip(hard, self.tokenizer.encode_batch_fast([p.decode() for p in hard], add_special_tokens=False)):
+            (known if len(p) <= CACHED_BYTES else own)[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return b"".join([known[p] if p in known else own[p] for p in pieces])
 
 
@@ -149,7 +184,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, most: int =
     def run(batches):
         from pyspark import TaskContext
 
-        part, ids, rows, made = TaskContext.get().partitionId(), Ids(path), [], 0
+        part, ids, rows, made = TaskContext.get().partitionId(), per_process(f"ids-{path}", lambda: Ids(path)), [], 0
         end = END_ID.to_bytes(4, "little")
 
         def emit(pieces):
