@@ -23,10 +23,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.llm._shared import per_process
+
 TRAIN_DOCS = 300
 ROUNDS = 4
 WORD_CHARS = 40
-CACHED = 400_000
+CACHED = 1_000_000
 UNKNOWN = 1e-6  # of a letter that no piece covers, in every language
 SMOOTHING = 0.02  # pseudo-count of each piece
 UND = "und"
@@ -53,32 +55,37 @@ def pieces(path: str) -> dict[str, int]:
     return found
 
 
+def beginnings(known: dict[str, int]) -> dict[str, int]:
+    """Every beginning of a piece: the piece's number if it is one itself, else -1. The empty string has the number of what no piece covers."""
+    out = {p[:n]: -1 for p in known for n in range(1, len(p))}
+    return out | known | {"": len(known)}
+
+
 class Lattice:
     """Segmentations of many words: arcs (word, start, end, piece), sorted by end and word."""
 
-    def __init__(self, words: list[str], known: dict[str, int], longest: int):
-        unknown = len(known)
-        at, begin, end, piece = [], [], [], []
-        get = known.get
+    def __init__(self, words: list[str], starts: dict[str, int]):
+        unknown = starts[""]
+        arcs = []  # end, word, start and piece in one number, which sorts by end and word
+        get, add = starts.get, arcs.append
         for k, w in enumerate(words):
-            n = len(w)
-            for j in range(1, n + 1):
-                for i in range(max(0, j - longest), j):
+            n, word = len(w), k << 26
+            for i in range(n):
+                base = word | i << 20
+                bare = True
+                for j in range(i + 1, n + 1):
                     p = get(w[i:j])
-                    if p is None:
-                        if i < j - 1:
-                            continue
-                        p = unknown
-                    at.append(k)
-                    begin.append(i)
-                    end.append(j)
-                    piece.append(p)
+                    if p is None:  # no piece goes on like this
+                        break
+                    if p >= 0:
+                        bare = bare and j > i + 1
+                        add(j << 50 | base | p)
+                if bare:
+                    add(i + 1 << 50 | base | unknown)
         self.n, self.sizes = len(words), np.fromiter(map(len, words), np.int64, len(words))
-        self.at, self.begin, self.end, self.piece = (np.array(x, np.int64) for x in (at, begin, end, piece))
         self.width = int(self.sizes.max(initial=0)) + 1
-        order = np.lexsort((self.at, self.end))
-        for name in ("at", "begin", "end", "piece"):
-            setattr(self, name, getattr(self, name)[order])
+        arcs = np.sort(np.array(arcs, np.int64))
+        self.end, self.at, self.begin, self.piece = arcs >> 50, arcs >> 26 & 0xFFFFFF, arcs >> 20 & 63, arcs & 0xFFFFF
         self.cuts = np.searchsorted(self.end, np.arange(1, self.width + 1))
 
     def forward(self, prob: np.ndarray) -> np.ndarray:
@@ -130,7 +137,7 @@ def _normal(expected: np.ndarray) -> np.ndarray:
 
 def learn(counts: dict[str, dict[str, int]], known: dict[str, int], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """counts: language to string to number. Languages in order, and piece probabilities (pieces + 1, languages)."""
-    longest = max(map(len, known))
+    starts = beginnings(known)
     langs, columns = sorted(counts), []
     for lang in langs:
         total: dict[str, int] = {}
@@ -138,7 +145,7 @@ def learn(counts: dict[str, dict[str, int]], known: dict[str, int], rounds: int
             for w in words_of(string):
                 total[w] = total.get(w, 0) + n
         words = sorted(total)
-        lattice, weight = Lattice(words, known, longest), np.array([total[w] for w in words], float)
+        lattice, weight = Lattice(words, starts), np.array([total[w] for w in words], float)
         prob = _normal(np.bincount(lattice.piece, weight[lattice.at], minlength=len(known) + 1))
         for _ in range(rounds):
             prob = _normal(lattice.expected(prob[:, None], weight))
@@ -168,24 +175,38 @@ class Scorer:
     """Sums of word log-probabilities, words kept by the strings they came in."""
 
     def __init__(self, known: dict[str, int], prob: np.ndarray):
-        self.known, self.prob, self.longest = known, prob, max(map(len, known))
+        self.starts, self.prob = beginnings(known), prob
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, self.prob.shape[1] + 1))  # the last column counts words
+        self.words: dict[str, int] = {}
+        width = self.prob.shape[1] + 1  # the last column counts words
+        self.rows, self.values = np.zeros((1 << 12, width)), np.zeros((1 << 12, width))
+
+    @staticmethod
+    def _room(rows: np.ndarray, n: int) -> np.ndarray:
+        while n > len(rows):
+            rows = np.concatenate([rows, np.zeros_like(rows)])
+        return rows
 
     def learn_strings(self, strings: list[str]) -> None:
-        words: dict[str, int] = {}
+        words, known = self.words, len(self.words)
         parts = [[words.setdefault(w, len(words)) for w in words_of(s)] for s in strings]
-        value = Lattice(list(words), self.known, self.longest).totals(self.prob)
+        if len(words) > known:
+            new = list(words)[known:]
+            self.values = self._room(self.values, len(words))
+            self.values[known : len(words), :-1] = Lattice(new, self.starts).totals(self.prob)
+            self.values[known : len(words), -1] = 1
         base = len(self.index)
-        while base + len(strings) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        for k, (s, own) in enumerate(zip(strings, parts), base):
-            self.index[s] = k
-            if own:
-                self.rows[k, :-1], self.rows[k, -1] = value[own].sum(axis=0), len(own)
+        self.rows = self._room(self.rows, base + len(strings))
+        self.index.update(zip(strings, range(base, base + len(strings))))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        full = np.flatnonzero(sizes)
+        if len(full):
+            flat = np.array([w for own in parts for w in own], np.int64)
+            heads = np.cumsum(sizes)[full] - sizes[full]
+            self.rows[base + full] = np.add.reduceat(self.values[flat], heads, axis=0)
 
     def score(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text: log-probability per language, then the number of words."""
@@ -194,8 +215,8 @@ class Scorer:
             self.clear()
         index = self.index
         missing = list({s for strings in split for s in strings if s not in index})
-        for k in range(0, len(missing), 4096):
-            self.learn_strings(missing[k : k + 4096])
+        for k in range(0, len(missing), 8192):
+            self.learn_strings(missing[k : k + 8192])
         get = index.__getitem__
         return [self.rows[np.fromiter(map(get, s), np.int64, len(s))].sum(axis=0) for s in split]
 
@@ -214,9 +235,10 @@ def add_language(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     langs, prob, known = model
     place = docs.columns.index(text_col)
     names = list(known)
+    key = f"langid-{hash((prob.tobytes(), tuple(names)))}"
 
     def run(batches):
-        scorer = Scorer({p: i for i, p in enumerate(names)}, prob)
+        scorer = per_process(key, lambda: Scorer({p: i for i, p in enumerate(names)}, prob))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
