@@ -15,6 +15,7 @@ are ignored by ``hits``.
 
 from __future__ import annotations
 
+import hashlib
 from itertools import repeat
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm._shared import stored
+from quern.llm._shared import per_process, stored
 
 WINDOW = 10
 SHARD_WORDS = 400_000
@@ -164,8 +165,10 @@ def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col:
     place = docs.columns.index(text_col)
 
     def one_pass(frame: DataFrame, shard: list) -> DataFrame:
+        key = f"automaton-{window}-{hashlib.sha1(repr(shard).encode('utf-8', 'surrogatepass')).hexdigest()}"
+
         def run(batches):
-            machine = Automaton([(item, words_of(text)) for item, text in shard], window)
+            machine = per_process(key, lambda: Automaton([(item, words_of(text)) for item, text in shard], window))
             for batch in batches:
                 n_words, spans, met = [], [], []
                 for text, had, ids in zip(batch.column(place).to_pylist(), batch.column(-2).to_pylist(), batch.column(-1).to_pylist()):

@@ -57,9 +57,9 @@ def test_lines_match_brute_force(spark):
     rng = random.Random(1)
     words = ["a", "b", "c", "d", "e", "f"]
     docs = [(i, "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(0, 8))) for _ in range(6))) for i in range(60)]
-    base = [rng.choice(words) + str(k) for k in range(150)]
+    base = [rng.choice(words) + str(k) for k in range(1001)]
     for i in range(60, 80):
-        w = list(base)
+        w = list(base[: rng.choice([150, 999, 1000, 1001])])
         at = rng.randrange(len(w))
         w[at : at + rng.randint(0, 1)] = [f"new{i}"] * rng.randint(0, 1)
         docs.append((i, " ".join(w)))
