@@ -234,7 +234,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_co
 
     @F.udf("string")
     def trimmed(text, spans):
-        return cut(text, [(s["a"], s["b"]) for s in spans])
+        return cut(text, [(s["a"], s["b"]) for s in spans]) if spans else text
 
     if max_coverage > 0:
         text = F.when(F.size("__spans") > 0, trimmed(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
