@@ -8,7 +8,7 @@ Earlier: by document id, then by line number. Lines without a word always stay.
 2. Two lines within one edit agree on the first or on the second half of the shorter one. Only lines that share such
    a half with another line go on. This loses no pair; it spares lines without any near copy the next step.
 3. Those lines emit every variant within the bound as a hashed key: the line itself and the line without each of its words. A key is
-   a sum of hashes of (word, place), so all variants of a line cost its length, not its square.
+   the hash of what remains; for lines of over LONG words it is a sum of hashes of (word, place), so that their variants cost the line's length, not its square.
 4. Lines are within one edit if one equals a variant of the other, or if their variants without the word at the same
    place are equal. So the earliest line per key and per (key, place) is all that is needed: two
    aggregates, joined back. No group of lines is gathered, and no pairs within it are made.
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from quern.llm._shared import stored
 
 MIN_WORDS = 5
+#: Lines of more words than this hash their variants by sums.
+LONG = 1000
 _BLOCK = 64
 _LINE = ["h1", "h2"]
 
@@ -115,6 +117,23 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (agree(a, b) + agree(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
+def _variants(near: DataFrame) -> DataFrame:
+    """key, gone (place of the word left out, -1 for none), n, line: each line's own key and those without one word.
+
+    Lines of up to LONG words hash the text that remains, which is quick but costs the line's length for each variant; longer ones sum
+    hashes. Lines at the border do both, so that neighbours on either side of it still meet.
+    """
+    n = F.size("words")
+    short = near.filter(n <= LONG + 1).select("line", n.alias("n"), F.array_join("words", " ").alias("text"))
+    short = short.select("line", "n", "text", F.explode(F.sequence(F.lit(-1), F.col("n") - 1)).alias("gone"))
+    ahead = F.call_function("substring_index", F.col("text"), F.lit(" "), F.greatest("gone", F.lit(0)))
+    behind = F.call_function("substring_index", F.col("text"), F.lit(" "), F.col("gone") + 1 - F.col("n"))
+    rest = F.when(F.col("gone") < 0, F.col("text")).when(F.col("gone") == 0, behind).when(F.col("gone") == F.col("n") - 1, ahead).otherwise(F.concat_ws(" ", ahead, behind))
+    short = short.select(F.xxhash64(rest).alias("key"), "gone", "n", "line")
+    long = near.filter(n >= LONG).select("line", n.alias("n"), F.posexplode(_keys(F.col("words"), 1)).alias("at", "key"))
+    return short.unionByName(long.select(F.xxhash64(F.lit("sum"), "key").alias("key"), (F.col("at") - 1).alias("gone"), "n", "line"))
+
+
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per line with words: id, no, verdict ('keep', 'exact' or 'near'), keep_id and keep_no (of the line that stays in
     its place; of a kept line its own)."""
@@ -132,49 +151,45 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = stored(
         hashed.groupBy(*_LINE).agg(F.min(place).alias("first"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")), "lines"
     )
+    # a line is known by its first place, then by its hash (places without an id may coincide)
+    line = F.struct(F.col("first.id").alias("id"), F.col("first.no").alias("no"), F.col("h1").alias("h"))
     # 2: lines that share a half with another line
-    half = firsts.filter(F.col("n") >= min_words - 1).select(*_LINE, "first", F.explode("halves").alias("half")).repartition("half")
+    half = firsts.filter(F.col("n") >= min_words - 1).select(line.alias("line"), F.explode("halves").alias("half")).repartition("half")
     shared = half.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
-    wanted = half.join(shared, "half", "left_semi").groupBy(*_LINE).agg(F.any_value("first").alias("first"))
-    by_doc = wanted.groupBy(F.col("first.id").alias("id")).agg(F.collect_list(F.struct(F.col("first.no").alias("no"), *_LINE)).alias("want"))
+    wanted = half.join(shared, "half", "left_semi").select("line.*").distinct()
+    by_doc = wanted.groupBy("id").agg(F.collect_list(F.struct("no", "h")).alias("want"))
     texts = docs.select(F.col(id_col).alias("doc"), F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1).alias("parts"))
     found = by_doc.join(texts, by_doc["id"].eqNullSafe(texts["doc"])).select(
-        "id", F.explode(F.transform("want", lambda w: F.struct(w["no"].alias("no"), w["h1"].alias("h1"), w["h2"].alias("h2"), F.get("parts", w["no"]).alias("raw")))).alias("e")
+        "id", F.explode(F.transform("want", lambda w: F.struct(w["no"].alias("no"), w["h"].alias("h"), F.get("parts", w["no"]).alias("raw")))).alias("e")
     )
-    found = found.select("id", "e.*").withColumn("line", F.regexp_replace("raw", r"^\s+|\s+$", ""))
+    found = found.select("id", "e.*").withColumn("text", F.regexp_replace("raw", r"^\s+|\s+$", ""))
     # a repeated id with another text: only the row that has this very line counts
-    found = found.filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2")))
-    near = stored(found.select(*_LINE, place.alias("first"), _words(F.col("line")).alias("words")).dropDuplicates(_LINE), "line-words")
+    found = found.filter(F.xxhash64("text") == F.col("h"))
+    near = stored(found.select(F.struct("id", "no", "h").alias("line"), _words(F.col("text")).alias("words")).dropDuplicates(["line"]), "line-words")
     # 3: variants
-    keys = F.arrays_zip(_keys(F.col("words"), 1).alias("k1"), _keys(F.col("words"), 2).alias("k2"))
-    rows = near.select(*_LINE, "first", F.size("words").alias("n"), F.posexplode(keys).alias("at", "key")).select(
-        *_LINE, "first", "n", F.col("key.k1").alias("k1"), F.col("key.k2").alias("k2"), (F.col("at") - 1).alias("gone")
-    )
+    rows = _variants(near)
     # 4: the earliest line per key and place, then per key
-    entry = F.struct("first", *_LINE)
-    by_place = rows.groupBy("k1", "k2", "gone").agg(F.min(entry).alias("least"), F.count("*").alias("c"))
     whole, cut = F.col("gone") < 0, F.col("gone") >= 0
-    by_key = by_place.groupBy("k1", "k2").agg(F.min(F.when(whole, F.col("least"))).alias("as_whole"), F.min(F.when(cut, F.col("least"))).alias("as_cut"), F.sum("c").alias("c"))
+    by_place = rows.groupBy("key", "gone").agg(F.min("line").alias("least"), F.count("*").alias("c"))
+    by_key = by_place.groupBy("key").agg(F.min(F.when(whole, F.col("least"))).alias("as_whole"), F.min(F.when(cut, F.col("least"))).alias("as_cut"), F.sum("c").alias("c"))
     by_key = by_key.filter("c > 1").drop("c")
     by_place = by_place.filter(cut & (F.col("c") > 1)).drop("c")
-    met = rows.join(by_key, ["k1", "k2"]).join(by_place, ["k1", "k2", "gone"], "left")
+    met = stored(rows.join(by_key, "key"), "line-variants").join(by_place, ["key", "gone"], "left")
     earliest = F.when(whole, F.col("as_cut")).otherwise(F.least("least", "as_whole"))
     links = (
-        met.select(*_LINE, "n", "first", earliest.alias("to"))
-        .filter(F.col("to").isNotNull() & (F.col("to.first") < F.col("first")))
-        .groupBy(*_LINE)
-        .agg(F.min("to").alias("to"), F.any_value("n").alias("n"))
-        .filter(F.col("n") >= min_words)
+        met.select("line", "n", earliest.alias("to"))
+        .filter(F.col("to").isNotNull() & (F.col("to") < F.col("line")) & (F.col("n") >= min_words))
+        .groupBy("line")
+        .agg(F.min("to").alias("to"))
     )
     # 5: the words themselves
-    own, other = near.select(*_LINE, F.col("words").alias("wa")), near.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("words").alias("wb"))
     sure = (
-        links.join(own, _LINE)
-        .join(other, (F.col("to.h1") == F.col("t1")) & (F.col("to.h2") == F.col("t2")))
+        links.join(near.select("line", F.col("words").alias("wa")), "line")
+        .join(near.select(F.col("line").alias("to"), F.col("words").alias("wb")), "to")
         .filter(within_one_edit(F.col("wa"), F.col("wb")))
-        .select(*_LINE, F.col("to.first").alias("near"))
+        .select("line", F.struct("to.id", "to.no").alias("near"))
     )
-    classes = firsts.select(*_LINE, "first").join(sure, _LINE, "left")
+    classes = firsts.select(*_LINE, "first", line.alias("line")).join(sure, "line", "left").drop("line")
     earliest = F.coalesce("near", "first")
     return hashed.select("id", "no", *_LINE).join(classes, _LINE).select(
         F.col("id").alias(id_col),
