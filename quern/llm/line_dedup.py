@@ -8,7 +8,8 @@ Earlier: by document id, then by line number. Lines without a word always stay.
 2. Two lines within one edit agree on the first or on the second half of the shorter one. Only lines that share such
    a half with another line go on. This loses no pair; it spares lines without any near copy the next step.
 3. Those lines emit every variant within the bound as a hashed key: the line itself and the line without each of its words. A key is
-   the hash of what remains; for lines of over LONG words it is a sum of hashes of (word, place), so that their variants cost the line's length, not its square.
+   the XOR of hashes of (word, place), so that by running XORs all variants of a line cost its length, not its square.
+   Only keys that two variants have go on.
 4. Lines are within one edit if one equals a variant of the other, or if their variants without the word at the same
    place are equal. So the earliest line per key and per (key, place) is all that is needed: two
    aggregates, joined back. No group of lines is gathered, and no pairs within it are made.
@@ -29,9 +30,8 @@ from pyspark.sql import functions as F
 from quern.llm._shared import stored
 
 MIN_WORDS = 5
-#: Lines of more words than this hash their variants by sums.
-LONG = 1000
-_BLOCK = 64
+_BLOCK = 32
+_BLANKS = " \t\x0b\f\r"
 _LINE = ["h1", "h2"]
 
 
@@ -39,69 +39,59 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _total(xs: Column) -> Column:
-    return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+def _running(xs: Column) -> Column:
+    """Running XORs of an array<bigint> that has values, with a leading 0. Arrays grow within blocks only."""
+    zero = F.array(F.lit(0).cast("long"))
 
+    def grow(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda a, x: F.concat(a, F.array(F.element_at(a, -1).bitwiseXOR(x))))
 
-def _running(xs: Column) -> Column:
-    """Running totals of an array<bigint> with a leading 0, by blocks: linear but for a factor of _BLOCK."""
-    n = F.size(xs)
-    blocks = F.sequence(F.lit(0), F.floor(n / F.lit(_BLOCK)).cast("int"))
+    starts = F.sequence(F.lit(1), F.size(xs), F.lit(_BLOCK))
+
+    def joined(blocks: Column) -> Column:
+        ahead = grow(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        return _let(ahead, lambda before: F.concat(zero, F.flatten(F.transform(blocks, lambda b, i: F.transform(F.slice(b, 2, _BLOCK), lambda x: x.bitwiseXOR(before[i]))))))
 
-    def with_sums(sums: Column) -> Column:
-        before = F.transform(blocks, lambda b: _total(F.slice(sums, F.lit(1), b)))
-        return _let(
-            before,
-            lambda ahead: F.transform(
-                F.sequence(F.lit(0), n),
-                lambda i: ahead[F.floor(i / F.lit(_BLOCK)).cast("int")]
-                + _total(F.slice(xs, F.floor(i / F.lit(_BLOCK)).cast("int") * F.lit(_BLOCK) + 1, F.pmod(i, F.lit(_BLOCK)))),
-            ),
-        )
+    return _let(F.transform(starts, lambda at: grow(F.slice(xs, at, F.lit(_BLOCK)))), joined)
 
-    return _let(F.transform(blocks, lambda b: _total(F.slice(xs, b * F.lit(_BLOCK) + 1, F.lit(_BLOCK)))), with_sums)
 
+def _trimmed(raw: Column) -> Column:
+    return F.btrim(raw, F.lit(_BLANKS))
 
-def _words(line: Column) -> Column:
-    return F.split(line, r"\s+")
+
+def _spaced(line: Column) -> Column:
+    """A trimmed line with one space between words."""
+    return F.when(line.rlike(r"[\t\x0b\f\r]|  "), F.regexp_replace(line, r"\s+", " ")).otherwise(line)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw")).select(
-        "id", "no", F.regexp_replace("raw", r"^\s+|\s+$", "").alias("line")
-    )
+    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw")).select("id", "no", _trimmed(F.col("raw")).alias("line"))
 
 
-def _halves(words: Column) -> Column:
+def _halves(spaced: Column, n: Column) -> Column:
     """Keys of which two lines within one edit share at least one."""
-    n = F.size(words)
+
+    def part(count: Column) -> Column:
+        return F.call_function("substring_index", spaced, F.lit(" "), count)
 
     def of(length: Column) -> list[Column]:
         h = F.floor(length / F.lit(2)).cast("int")
-        back = length - h
-        return [
-            F.xxhash64(F.lit("first"), length, F.slice(words, F.lit(1), h)),
-            F.xxhash64(F.lit("second"), length, F.slice(words, n - back + 1, back)),
-        ]
+        return [F.xxhash64(F.lit("first"), length, part(h)), F.xxhash64(F.lit("second"), length, part(h - length))]
 
     return F.array(*of(n), *of(n - 1))
 
 
-def _keys(words: Column, seed: int) -> Column:
+def _keys(words: Column) -> Column:
     """Per variant a key: first the line itself, then the line without its word at 0, 1 and so on."""
-
-    def g(w: Column, place: Column) -> Column:  # 40 bits: sums of millions of them fit
-        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), w, place.cast("int")), 24)
-
-    ahead = F.transform(words, lambda w, i: g(w, i))
-    moved = F.transform(words, lambda w, i: g(w, i - 1))
+    ahead = F.transform(words, lambda w, i: F.xxhash64(w, i))
+    moved = F.transform(words, lambda w, i: F.xxhash64(w, i - 1))
     n = F.size(words)
     return _let(
         F.struct(_running(ahead).alias("a"), _running(moved).alias("m")),
         lambda s: F.concat(
             F.array(s["a"][n]),
-            F.transform(F.sequence(F.lit(0), n - 1), lambda p: s["a"][p] + s["m"][n] - s["m"][p + 1]),
+            _let(s["m"][n], lambda end: F.transform(F.slice(s["a"], F.lit(1), n), lambda x, p: x.bitwiseXOR(end).bitwiseXOR(s["m"][p + 1]))),
         ),
     )
 
@@ -111,50 +101,33 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
     def agree(x: Column, y: Column) -> Column:
         miss = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), False)
-        return F.when(miss == 0, F.greatest(F.size(x), F.size(y))).otherwise(miss - 1)
+        return _let(miss, lambda at: F.when(at == 0, F.greatest(F.size(x), F.size(y))).otherwise(at - 1))
 
     longer = F.greatest(F.size(a), F.size(b))
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (agree(a, b) + agree(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
 def _variants(near: DataFrame) -> DataFrame:
-    """key, gone (place of the word left out, -1 for none), n, line: each line's own key and those without one word.
-
-    Lines of up to LONG words hash the text that remains, which is quick but costs the line's length for each variant; longer ones sum
-    hashes. Lines at the border do both, so that neighbours on either side of it still meet.
-    """
-    n = F.size("words")
-    short = near.filter(n <= LONG + 1).select("line", n.alias("n"), F.array_join("words", " ").alias("text"))
-    short = short.select("line", "n", "text", F.explode(F.sequence(F.lit(-1), F.col("n") - 1)).alias("gone"))
-    ahead = F.call_function("substring_index", F.col("text"), F.lit(" "), F.greatest("gone", F.lit(0)))
-    behind = F.call_function("substring_index", F.col("text"), F.lit(" "), F.col("gone") + 1 - F.col("n"))
-    rest = F.when(F.col("gone") < 0, F.col("text")).when(F.col("gone") == 0, behind).when(F.col("gone") == F.col("n") - 1, ahead).otherwise(F.concat_ws(" ", ahead, behind))
-    short = short.select(F.xxhash64(rest).alias("key"), "gone", "n", "line")
-    long = near.filter(n >= LONG).select("line", n.alias("n"), F.posexplode(_keys(F.col("words"), 1)).alias("at", "key"))
-    return short.unionByName(long.select(F.xxhash64(F.lit("sum"), "key").alias("key"), (F.col("at") - 1).alias("gone"), "n", "line"))
+    """key, gone (place of the word left out, -1 for none), n, line: each line's own key and those without one word."""
+    words = near.select("line", "n", F.split("text", " ").alias("words"))
+    return words.select("line", "n", F.posexplode(_keys(F.col("words"))).alias("at", "key")).select("key", (F.col("at") - 1).alias("gone"), "n", "line")
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per line with words: id, no, verdict ('keep', 'exact' or 'near'), keep_id and keep_no (of the line that stays in
     its place; of a kept line its own)."""
     lines = _lines(docs, id_col, text_col).filter(F.col("line") != "")
-    words = _words(F.col("line"))
-    hashed = lines.select(
-        "id",
-        "no",
-        F.xxhash64("line").alias("h1"),
-        F.xxhash64(F.lit(1), "line").alias("h2"),
-        F.size(words).alias("n"),
-        F.when(F.size(words) >= min_words - 1, _halves(words)).alias("halves"),
-    )
+    hashed = lines.select("id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), _spaced(F.col("line")).alias("text"))
+    counted = hashed.withColumn("n", F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1)
+    halved = counted.select("id", "no", *_LINE, "n", F.when(F.col("n") >= min_words - 1, _halves(F.col("text"), F.col("n"))).alias("halves"))
     place = F.struct("id", "no")
     firsts = stored(
-        hashed.groupBy(*_LINE).agg(F.min(place).alias("first"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")), "lines"
+        halved.groupBy(*_LINE).agg(F.min(place).alias("first"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")), "lines"
     )
     # a line is known by its first place, then by its hash (places without an id may coincide)
     line = F.struct(F.col("first.id").alias("id"), F.col("first.no").alias("no"), F.col("h1").alias("h"))
     # 2: lines that share a half with another line
-    half = firsts.filter(F.col("n") >= min_words - 1).select(line.alias("line"), F.explode("halves").alias("half")).repartition("half")
+    half = firsts.filter(F.col("n") >= min_words - 1).select(line.alias("line"), F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     wanted = half.join(shared, "half", "left_semi").select("line.*").distinct()
     by_doc = wanted.groupBy("id").agg(F.collect_list(F.struct("no", "h")).alias("want"))
@@ -162,19 +135,20 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = by_doc.join(texts, by_doc["id"].eqNullSafe(texts["doc"])).select(
         "id", F.explode(F.transform("want", lambda w: F.struct(w["no"].alias("no"), w["h"].alias("h"), F.get("parts", w["no"]).alias("raw")))).alias("e")
     )
-    found = found.select("id", "e.*").withColumn("text", F.regexp_replace("raw", r"^\s+|\s+$", ""))
+    found = found.select("id", "e.*").withColumn("text", _trimmed(F.col("raw")))
     # a repeated id with another text: only the row that has this very line counts
     found = found.filter(F.xxhash64("text") == F.col("h"))
-    near = stored(found.select(F.struct("id", "no", "h").alias("line"), _words(F.col("text")).alias("words")).dropDuplicates(["line"]), "line-words")
+    spaced = found.select(F.struct("id", "no", "h").alias("line"), _spaced(F.col("text")).alias("text")).dropDuplicates(["line"])
+    near = stored(spaced.withColumn("n", F.size(F.split("text", " "))), "line-texts")
     # 3: variants
     rows = _variants(near)
+    twice = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    met = stored(rows.join(twice, "key", "left_semi"), "line-variants")
     # 4: the earliest line per key and place, then per key
     whole, cut = F.col("gone") < 0, F.col("gone") >= 0
-    by_place = rows.groupBy("key", "gone").agg(F.min("line").alias("least"), F.count("*").alias("c"))
-    by_key = by_place.groupBy("key").agg(F.min(F.when(whole, F.col("least"))).alias("as_whole"), F.min(F.when(cut, F.col("least"))).alias("as_cut"), F.sum("c").alias("c"))
-    by_key = by_key.filter("c > 1").drop("c")
-    by_place = by_place.filter(cut & (F.col("c") > 1)).drop("c")
-    met = stored(rows.join(by_key, "key"), "line-variants").join(by_place, ["key", "gone"], "left")
+    by_place = met.groupBy("key", "gone").agg(F.min("line").alias("least"))
+    by_key = by_place.groupBy("key").agg(F.min(F.when(whole, F.col("least"))).alias("as_whole"), F.min(F.when(cut, F.col("least"))).alias("as_cut"))
+    met = met.join(by_key, "key").join(by_place.filter(cut), ["key", "gone"], "left")
     earliest = F.when(whole, F.col("as_cut")).otherwise(F.least("least", "as_whole"))
     links = (
         met.select("line", "n", earliest.alias("to"))
@@ -184,8 +158,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     # 5: the words themselves
     sure = (
-        links.join(near.select("line", F.col("words").alias("wa")), "line")
-        .join(near.select(F.col("line").alias("to"), F.col("words").alias("wb")), "to")
+        links.join(near.select("line", F.split("text", " ").alias("wa")), "line")
+        .join(near.select(F.col("line").alias("to"), F.split("text", " ").alias("wb")), "to")
         .filter(within_one_edit(F.col("wa"), F.col("wb")))
         .select("line", F.struct("to.id", "to.no").alias("near"))
     )
