@@ -61,7 +61,10 @@ def _trimmed(raw: Column) -> Column:
 
 def _spaced(line: Column) -> Column:
     """A trimmed line with one space between words."""
-    return F.when(line.rlike(r"[\t\x0b\f\r]|  "), F.regexp_replace(line, r"\s+", " ")).otherwise(line)
+    uneven = line.contains("  ")
+    for blank in _BLANKS[1:]:
+        uneven = uneven | line.contains(blank)
+    return F.when(uneven, F.regexp_replace(line, r"\s+", " ")).otherwise(line)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
