@@ -78,6 +78,8 @@ def mirror(source: str, target: str) -> tuple[int, int] | None:
     try:
         a, at = fs.FileSystem.from_uri(source)
         b, to = fs.FileSystem.from_uri(target)
+        if a.get_file_info(at).type == fs.FileType.Directory:
+            b.create_dir(to, recursive=True)
         fs.copy_files(at, to, source_filesystem=a, destination_filesystem=b)
         files = [f for f in b.get_file_info(fs.FileSelector(to, recursive=True)) if f.is_file]
         return len(files), sum(f.size for f in files)
