@@ -289,3 +289,21 @@ def test_passage_edges(edge_docs, no_docs):
     assert substring_dedup.shared_passages(no_docs).count() == 0
     assert substring_dedup.shared_passages(edge_docs).count() == 0
     assert substring_dedup.remove_repeats(edge_docs).count() == edge_docs.count()
+
+
+def edited_family(rng, base):
+    """An edited copy of a passage, then two documents that have the passage word for word."""
+    passage = prose(rng, 50).split()
+    near = list(passage)
+    for at in rng.sample(range(8, 42), 2):
+        near[at] = "edited" + str(base)
+    return [(base + i, " ".join([prose(rng, 30), *p, prose(rng, 30)])) for i, p in enumerate((near, passage, passage))]
+
+
+def test_equal_passage_behind_an_edited_copy(spark):
+    rng = random.Random(17)
+    rows = [r for i in range(60) for r in edited_family(rng, 10 * i)]
+    words = {i: t.encode().translate(substring_dedup._FOLD).split() for i, t in rows}
+    want = {10 * i + 2 for i in range(60)}
+    got = {r.doc_id for r in substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect() if r.source_id == r.doc_id - 1 and words[r.doc_id][r.start : r.end] == words[r.source_id][r.start : r.end]}
+    assert got == want
