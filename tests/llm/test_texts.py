@@ -307,3 +307,16 @@ def test_equal_passage_behind_an_edited_copy(spark):
     want = {10 * i + 2 for i in range(60)}
     got = {r.doc_id for r in substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect() if r.source_id == r.doc_id - 1 and words[r.doc_id][r.start : r.end] == words[r.source_id][r.start : r.end]}
     assert got == want
+
+
+def test_passages_do_not_depend_on_partitions(spark, monkeypatch):
+    """A document has a shared passage twice, earlier documents have it edited: rows are the same however documents meet in tasks."""
+    rng = random.Random(23)
+    rows = [r for i in range(12) for r in edited_family(rng, 10 * i)]
+    shared = prose(rng, 200)
+    rows += [(500, f"{prose(rng, 40)} {shared} {prose(rng, 40)}"), (501, f"{shared} {prose(rng, 60)} {shared}")] + [(502 + i, f"{prose(rng, 40)} {shared}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = sorted(map(tuple, substring_dedup.shared_passages(df.coalesce(1)).collect()))
+    many = sorted(map(tuple, substring_dedup.shared_passages(df.repartition(40, "doc_id")).collect()))
+    assert one == many
+    assert len([r for r in one if r[0] == 501]) == 2
