@@ -44,7 +44,6 @@ def overlapping(sources: list[str], mix: dict[str, float] | None) -> bool:
 
 # ---- similarity
 
-EXACT_ROWS = 20_000
 BLOCK_ROWS = 2_000
 PLANES, TABLES = 14, 24
 
@@ -55,19 +54,19 @@ def _unit(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn(vector, F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v))
 
 
-def similar_pairs(df: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", exact: bool | None = None) -> DataFrame:
+def similar_pairs(df: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", exact: bool = True) -> DataFrame:
     """Pairs (a, b, cosine), a < b, with a cosine of at least the threshold.
 
-    Up to EXACT_ROWS rows each row meets each other in blocks of BLOCK_ROWS (block pairs are the tasks). Beyond,
+    Each row meets each other in blocks of BLOCK_ROWS (block pairs are the tasks), at every size. With exact=False
     candidates come from TABLES tables of PLANES random planes, whose buckets are again compared in blocks, and each candidate's
-    cosine is computed: what is reported is exact, and pairs near the threshold may be missed.
+    cosine is computed: what is reported is exact, but pairs are missed, by the planes' arithmetic about 2 % of those at a cosine of 0.92 and
+    98 % of those at 0.30.
     """
     import numpy as np
     import pandas as pd
 
     rows = _unit(df.select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v")).dropna(), "v")
     n = rows.count()
-    exact = n <= EXACT_ROWS if exact is None else exact
     blocks = max(1, -(-n // BLOCK_ROWS))
     if exact:
         mine = F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")
@@ -135,7 +134,7 @@ def greedy_keep(nodes: DataFrame, pairs: DataFrame, rank: str = "rank", key: str
 
 
 def semantic_dedup(
-    df: DataFrame, threshold: float = 0.92, key: str = "pos", vector: str = "embedding", length: Column | None = None, exact: bool | None = None, position: Column | None = None
+    df: DataFrame, threshold: float = 0.92, key: str = "pos", vector: str = "embedding", length: Column | None = None, exact: bool = True, position: Column | None = None
 ) -> DataFrame:
     """Rows that stay, all columns. Taken by position (the key, unless one is given), or by length, longest first and ties by position, if a length is given."""
     order = F.struct(*([(-length).alias("l")] if length is not None else []), (F.col(key) if position is None else position).alias("p"))

@@ -111,6 +111,19 @@ def test_similar_pairs_by_planes_finds_close_ones(spark):
     assert {(r.a, r.b) for r in dedup.similar_pairs(df, 0.95, exact=False).collect()} == exact
 
 
+def test_similar_pairs_are_all_found_in_a_large_table(spark):
+    """More rows than 20,000, and a threshold at which random planes find next to nothing: every pair of planted vectors."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    c = 0.35
+    near = [[1.0] + [0.0] * 15] + [[c] + [float(np.sqrt(1 - c * c)) if j == i else 0.0 for j in range(15)] for i in range(15)]
+    planted = spark.createDataFrame([(i, v) for i, v in enumerate(near)], "vec_id long, embedding array<double>")
+    zeros = spark.range(100, 20_200).select(F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.0), 16).alias("embedding"))
+    got = {(r.a, r.b) for r in dedup.similar_pairs(planted.union(zeros), 0.30).collect()}
+    assert got == {(0, i) for i in range(1, 16)}
+
+
 def test_quotas():
     assert mix.quotas({"a": 100, "b": 10}, {"a": 50, "b": 50}, None) == {"a": 10, "b": 10}
     assert mix.quotas({"a": 100}, {"a": 50, "b": 50}, 20) == {"a": 20}
