@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.functions.shared import shared_dir
+
 
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """df with its 1-based place in the order. Rows are dealt by ranges of it, ranked inside each range, and ranges are offset by the
     number of rows before them: the driver sees one count per range. The dealt rows are checkpointed in the shared folder, so that
     counts and ranks speak of the same ranges."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    shared_dir(df.sparkSession)
     dealt = df.select("*", F.struct(*order).alias("__order")).repartitionByRange(F.col("__order"))
     dealt = dealt.withColumn("__range", F.spark_partition_id()).checkpoint()
     counts = dict(dealt.groupBy("__range").count().collect())

@@ -1,12 +1,14 @@
-"""Text columns. All of them stay in the JVM but ``unescape_html``, for which Spark has no function."""
+"""Text columns. All of them stay in the JVM but unescaping of HTML and tokenizers, for which Spark has no functions."""
 
 from __future__ import annotations
 
 import html
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 # Fixed value: the white space of Python's str.strip and of \s in its patterns, as a Java class.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -31,11 +33,18 @@ def unescape_html(s):  # noqa: ANN001, ANN201
     return s.map(lambda x: None if x is None else html.unescape(x))
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def unescape_each(lists):  # noqa: ANN001, ANN201
+    return lists.map(lambda xs: None if xs is None else [None if x is None else html.unescape(x) for x in xs])
+
+
+def without_tags(c: Column) -> Column:
+    return F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")
+
 
 def strip_html(c: Column) -> Column:
     """Tags to blanks, then entities to characters, then white space squeezed: an escaped tag stays as text."""
-    bare = F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")
-    return squeezed(unescape_html(bare))
+    return squeezed(unescape_html(without_tags(c)))
 
 
 def word_count(c: Column) -> Column:
@@ -70,3 +79,27 @@ def last_match(text: Column, pattern: str, group: int = 1) -> Column:
 def seeded_key(seed: int, *keys: Column) -> Column:
     """The order of a seeded shuffle: the same rows give the same order on any cluster."""
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]), 256)
+
+
+def estimate(output: Column, name: str = "PPL") -> Column:
+    """The number behind the last "Final estimate: <name> = " of a tool's output; null if there is none."""
+    return last_match(output, rf"Final estimate[^\n]*{name}[^\n=]*=\s*([0-9.]+)").try_cast("double")
+
+
+def token_counter(path: str) -> Callable[[Column], Column]:
+    """A counter of a tokenizer's tokens (a file of the public tokenizers library), by Arrow batches; each worker loads it once per batch iterator."""
+
+    def count(c: Column) -> Column:
+        @F.pandas_udf(LongType())
+        def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            import pandas
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            for part in parts:
+                found = tokenizer.encode_batch_fast(part.fillna("").tolist(), add_special_tokens=False)
+                yield pandas.Series([len(e.ids) for e in found], dtype="int64")
+
+        return tokens(c)
+
+    return count

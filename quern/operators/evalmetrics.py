@@ -173,6 +173,29 @@ def rouge_l(prediction: Column, reference: Column) -> Column:
     return score(prediction, reference)
 
 
+def code_bleu(prediction: Column, reference: Column) -> Column:
+    """Null: the metric needs parsers that stay outside; reports show it as absent."""
+    return F.lit(None).cast("double")
+
+
+def by_category(df: DataFrame, category: str, prediction: str, reference: str, key: str) -> DataFrame:
+    """A row per category: rows, exact match, BLEU (0 to 100), mean ROUGE-L, CodeBLEU."""
+    p, r = F.col(prediction), F.col(reference)
+    rows = df.select(F.col(category).alias("category"), F.col(key).alias("k"), p.alias("p"), r.alias("r"))
+    means = rows.groupBy("category").agg(F.count(F.lit(1)).alias("n"), exact_match(F.col("p"), F.col("r")).alias("em"))
+    rouge = rows.select("category", rouge_l(F.col("p"), F.col("r")).alias("x")).groupBy("category").agg(F.avg("x").alias("rouge_l"))
+    bleu = bleu_scores(bleu_counts(rows, "category", "p", "r", "k"), "category")
+    return means.join(bleu, "category", "left").join(rouge, "category", "left").withColumn("codebleu", code_bleu(p, r))
+
+
+def with_metrics(categories: DataFrame, **sides: DataFrame) -> DataFrame:
+    """categories: category. Each side: category, value. A category that a side lacks stays, with a null."""
+    out = categories
+    for name, side in sides.items():
+        out = out.join(side.select("category", F.col("value").alias(name)), "category", "left")
+    return out
+
+
 def perplexity(loss: Column) -> Column:
     """exp of the unweighted mean of the samples' losses."""
     return F.exp(F.avg(loss))

@@ -89,22 +89,39 @@ def _java(pattern: str, flags: str = "(?Ud)") -> str:
     return flags + pattern.replace(r"\s", WS)
 
 
-_REMOVED = _java("|".join(REMOVED_API_PATTERNS))
-_DEPRECATED = _java("|".join(DEPRECATED_API_PATTERNS))
+#: Strings of which every match of the patterns has one (a test holds them against the patterns). Looking for them is far cheaper than trying dozens of
+#: alternatives at each character; few texts have any, and those are held against the patterns with that string alone.
+REMOVED_SIGNS = ["Application.", "OnLevelWasLoaded", "WWW", "Network", "MasterServer", "RPC", "Particle", "GUI", "iPhone", "SetActiveRecursively", "DestroyObject", "Security."]
+DEPRECATED_SIGNS = [
+    "rigidbody", "collider", "renderer", "audio", "camera", "light", "animation", "particleSystem", "hingeJoint", "networkView", "constantForce", "guiText",
+    "playmodeStateChanged", "Component.active", "shadowConstantBias", "GetNativeTextureID",
+]
+
+
+def _has(text: Column, signs: list[str], patterns: list[str]) -> Column:
+    found = None
+    for sign in signs:
+        own = [p for p in patterns if sign in p.replace("\\", "")]
+        one = F.contains(text, F.lit(sign)) & text.rlike(_java("|".join(own)))
+        found = one if found is None else found | one
+    return found
 
 
 def has_removed(text: Column) -> Column:
-    return text.rlike(_REMOVED)
+    return _has(text, REMOVED_SIGNS, REMOVED_API_PATTERNS)
 
 
 def has_deprecated(text: Column) -> Column:
-    return text.rlike(_DEPRECATED)
+    return _has(text, DEPRECATED_SIGNS, DEPRECATED_API_PATTERNS)
+
+
+def outdated(text: Column, strict: bool = True) -> Column:
+    """The text, put together from turns, is computed once for all that looks at it."""
+    return F.transform(F.array(text), lambda t: has_removed(t) | has_deprecated(t) if strict else has_removed(t))[0]
 
 
 def up_to_date(m: Column, strict: bool = True, check_user: bool = False) -> Column:
-    text = full_text(m) if check_user else assistant_text(m)
-    bad = has_removed(text) | has_deprecated(text) if strict else has_removed(text)
-    return ~bad
+    return ~outdated(full_text(m) if check_user else assistant_text(m), strict)
 
 
 def unambiguous_text(user: Column, min_chars: int = 12, min_words: int = 3) -> Column:
@@ -168,9 +185,9 @@ def has_meta(df: DataFrame) -> bool:
     return bool(set(df.columns) & {*SCORE_COLUMNS, *ACCEPTED_COLUMNS})
 
 
-def heuristic_ok(m: Column, domain_only: bool = True, min_chars: int = 120) -> Column:
+def heuristic_ok(m: Column, domain_only: bool = True, min_chars: int = 120, words: list[str] | None = None) -> Column:
     long_enough = F.length(assistant_text(m)) >= min_chars
-    return long_enough & in_domain(full_text(m)) if domain_only else long_enough
+    return long_enough & in_domain(full_text(m), words) if domain_only else long_enough
 
 
 def short_enough(tokens: Column, max_length: int) -> Column:

@@ -7,6 +7,7 @@ same rows give the same picks on any number of machines. Counts and ratios are a
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,43 +51,78 @@ def quotas(counts: dict[str, int], mix: dict[str, float], target: int | None) ->
     return {s: min(round_half_even(total * share[s]), counts[s]) for s in share}
 
 
-def ranked_per_source(df: DataFrame, seed: int, key: str, source: str = "source") -> DataFrame:
-    order = [seeded_key(seed, F.col(source), F.col(key)), F.col(key)]
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(source).orderBy(*order)))
+#: Hex digits of the seeded hash that deal a source's rows into ranges, whose counts tell where a cut lies.
+_DIGITS = 4
 
 
 def cap_per_source(df: DataFrame, caps: dict[str, int | None] | int, seed: int = 42, key: str = "pos", source: str = "source") -> DataFrame:
-    """At most so many rows of each source; sources without a cap stay whole. The ranking's partial limit runs inside tasks."""
+    """At most so many rows of each source: those whose seeded hashes come first; sources without a cap stay whole.
+
+    Counts of hash ranges say in which range a source's cut lies. Rows of earlier ranges stay and those of later ones go without being ranked; only the range with the cut
+    is, so no task ever has a whole source. The input is read for the counts (keys alone) and for each of the two parts.
+    """
     if isinstance(caps, int):
         limit: Column = F.lit(caps)
-        free = F.lit(False)
     else:
         caps = {s: n for s, n in caps.items() if n is not None}
         if not caps:
             return df
         limit = F.coalesce(*[F.when(F.col(source) == s, n) for s, n in caps.items()])
-        free = limit.isNull()
-    most = caps if isinstance(caps, int) else max(caps.values())
-    whole = df.filter(free)
-    capped = ranked_per_source(df.filter(~free), seed, key, source).filter(F.col("__rank") <= most).filter(F.col("__rank") <= limit).drop("__rank")
-    return capped if isinstance(caps, int) else whole.unionByName(capped)
-
-
-def apply_mix(df: DataFrame, mix: dict[str, float], target: int | None = None, seed: int = 42, key: str = "pos", source: str = "source") -> DataFrame:
-    counts = {r[0]: r[1] for r in df.filter(F.col(source).isin(list(mix))).groupBy(source).count().collect()}
-    picked = quotas(counts, mix, target)
+    rows = df.select(F.struct("*").alias("row"), F.col(source).alias("s"), limit.cast("long").alias("cap"), seeded_key(seed, F.col(source), F.col(key)).alias("h"), F.col(key).alias("k"))
+    free = rows.filter(F.col("cap").isNull()).select("row.*")
+    rows = rows.filter(F.col("cap").isNotNull()).withColumn("range", F.substring("h", 1, _DIGITS))
+    counts = rows.groupBy("s", "range").agg(F.count(F.lit(1)).alias("n"), F.max("cap").alias("cap"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    met = counts.withColumn("room", F.col("cap") - before)
+    # per source the first range that does not fit whole, and the rows of it that still do
+    edges = met.filter(F.col("room") < F.col("n")).groupBy(F.col("s").alias("of")).agg(F.min(F.struct("range", "room")).alias("edge"))
+    dealt = rows.join(edges, F.col("s").eqNullSafe(F.col("of")), "left")
+    sure = dealt.filter(F.col("edge").isNull() | (F.col("range") < F.col("edge.range"))).select("row.*")
+    place = F.row_number().over(Window.partitionBy("s").orderBy("h", "k"))
+    cut = dealt.filter(F.col("range") == F.col("edge.range")).withColumn("place", place).filter(F.col("place") <= F.col("edge.room")).select("row.*")
+    capped = sure.unionByName(cut)
+    return capped if isinstance(caps, int) else free.unionByName(capped)
+
+
+def apply_mix(df: DataFrame, mix: dict[str, float | None], target: int | None = None, seed: int = 42, key: str = "pos", source: str = "source") -> DataFrame:
+    """Rows by the mix's shares. Weights of None or 0 count as absent; sources that the mix doesn't name go; those it names and nobody has are warned of."""
+    wanted = {s: w for s, w in mix.items() if w}
+    counts = {r[0]: r[1] for r in df.filter(F.col(source).isin(list(wanted))).groupBy(source).count().collect()}
+    if missing := [s for s in wanted if not counts.get(s)]:
+        warnings.warn(f"the mix names sources without rows: {', '.join(missing)}", stacklevel=2)
+    picked = quotas(counts, wanted, target)
     chosen = df.filter(F.col(source).isin(list(picked)))
     return cap_per_source(chosen, picked, seed, key, source)
 
 
+def split_flag(df: DataFrame, ratio: float, seed: int = 42, key: str = "pos") -> Column:
+    """True for the ceil(rows * ratio) rows whose seeded hashes come first: a comparison with a cut-off, so that marking them needs neither a rank nor a join.
+
+    The cut-off is found from counts of hash ranges (keys alone are read) and from the rows of the one range in which it lies. Rows that share a key are on one side.
+    """
+    rows = df.select(seeded_key(seed, F.col(key)).alias("h"), F.col(key).alias("k")).withColumn("range", F.substring("h", 1, _DIGITS))
+    counts = sorted(tuple(r) for r in rows.groupBy("range").count().collect())  # at most 16 ** _DIGITS
+    room = math.ceil(sum(n for _, n in counts) * ratio)
+    for at, n in counts:
+        if room <= n:
+            break
+        room -= n
+    if not counts or room < 1:
+        return F.lit(False)
+    inside = rows.filter(F.col("range") == at).orderBy("h", "k").limit(room)
+    last = inside.agg(F.max(F.struct("h", "k")).alias("m")).first()["m"]
+    return F.struct(seeded_key(seed, F.col(key)).alias("h"), F.col(key).alias("k")) <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).cast(df.schema[key].dataType).alias("k"))
+
+
 def split(df: DataFrame, ratio: float, seed: int = 42, key: str = "pos") -> tuple[DataFrame, DataFrame]:
-    """(train, test). The test set has ceil(rows * ratio) rows: those whose seeded hashes come first. They are found by a
-    distributed sort and a limit, not by a rank over one partition."""
-    order = [seeded_key(seed, F.col(key)), F.col(key)]
-    size = math.ceil(df.count() * ratio)
-    test = df.orderBy(*order).limit(size)
-    ids = test.select(F.col(key).alias("__id"))
-    return df.join(ids, F.col(key) == F.col("__id"), "left_anti"), df.join(ids, F.col(key) == F.col("__id"), "left_semi")
+    """(train, test). The test set has ceil(rows * ratio) rows: those whose seeded hashes come first."""
+    test = split_flag(df, ratio, seed, key)
+    return df.filter(~test), df.filter(test)
+
+
+def restored(df: DataFrame, *order: str) -> DataFrame:
+    """Rows back in their original order (by pos, unless columns are named), for a sink: selection leaves none."""
+    return df.orderBy(*(order or ("pos",)))
 
 
 def seeded_shuffle(df: DataFrame, seed: int = 42, key: str = "pos") -> DataFrame:
@@ -112,6 +148,11 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def unrequested(df: DataFrame, requested: list[str], source: str = "source") -> DataFrame:
+    """The sources that df has and nobody asked for."""
+    return df.select(source).filter(~F.col(source).isin(requested) | F.col(source).isNull()).distinct()
+
+
 def extra_source(df: DataFrame, name: str, overwrite: bool = True) -> DataFrame:
     """An outside table as a source. With overwrite only messages (and pos) stay and the source is set; else its own source and columns stay."""
     if "messages" not in df.columns:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.messages import assistant_text, last_user
-from quern.operators.filters import FENCE, has_deprecated, has_removed
+from quern.operators.filters import FENCE, outdated
 
 
 def text_quality(df: DataFrame, user: Column, answer: Column, source: str = "source") -> DataFrame:
@@ -16,7 +16,7 @@ def text_quality(df: DataFrame, user: Column, answer: Column, source: str = "sou
         F.avg(F.length(user)).alias("avg_user_len"),
         F.avg(F.length(answer)).alias("avg_asst_len"),
         F.avg(F.contains(answer, F.lit(FENCE)).cast("int")).alias("code_ratio"),
-        F.avg((has_removed(answer) | has_deprecated(answer)).cast("int")).alias("deprecated_ratio"),
+        F.avg(outdated(answer).cast("int")).alias("deprecated_ratio"),
         F.avg(F.contains(user, F.lit("?")).cast("int")).alias("question_ratio"),
     )
 

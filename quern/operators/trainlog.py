@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.order import global_rank
+from quern.functions.shared import shared_dir
+
 # Columns of the log.
 LOG_COLUMNS = ["epoch", "step", "train_loss", "eval_loss", "train_accuracy", "eval_accuracy", "learning_rate", "perplexity", "eval_perplexity"]
 LOG_SCHEMA = T.StructType([T.StructField(c, T.LongType() if c == "step" else T.DoubleType()) for c in LOG_COLUMNS])
@@ -61,21 +64,30 @@ def approximate_accuracy(eval_loss: Column) -> Column:
     return F.exp(-eval_loss)
 
 
+# The quartiles of a description.
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A row per column: count, mean, std (of a sample), min, quartiles (interpolated), max."""
-    parts = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        parts.append(
-            df.agg(
-                F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                F.percentile(x, F.lit(0.25)).alias("q25"), F.percentile(x, F.lit(0.5)).alias("q50"), F.percentile(x, F.lit(0.75)).alias("q75"), F.max(x).alias("max"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A row per column: count, mean, std (of a sample), min, quartiles (interpolated), max.
+
+    One pass for all columns, one for their ranks. Quartiles are exact and come from the ranks of a distributed sort, so that no buffer holds a column's distinct values.
+    """
+    shared_dir(df.sparkSession)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]))
+    cells = df.select(each.alias("c")).select("c.*")
+    stats = cells.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")).checkpoint()
+    ahead, wanted = 0, []
+    for name, n in sorted((r["column"], r["count"]) for r in stats.collect()):
+        for q, share in QUARTILES.items() if n else ():
+            low, part = divmod((n - 1) * share, 1)
+            wanted += [(name, q, ahead + int(low) + 1, 1 - part), *([(name, q, ahead + int(low) + 2, part)] if part else [])]
+        ahead += n
+    places = df.sparkSession.createDataFrame(wanted, "column string, q string, rank bigint, weight double")
+    ranked = global_rank(cells.filter("x IS NOT NULL"), F.col("column"), F.col("x")).select("rank", "x")
+    met = ranked.join(F.broadcast(places), "rank").groupBy("column", "q").agg(F.sum(F.col("x") * F.col("weight")).alias("x"))
+    quartiles = met.groupBy("column").agg(*[F.max(F.when(F.col("q") == q, F.col("x"))).alias(q) for q in QUARTILES])
+    return stats.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def tail(df: DataFrame, n: int, *order: str) -> DataFrame:

@@ -6,6 +6,8 @@ same expression in Spark and in SQL. No query leaves rows out to be cheap: limit
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from quern.functions import messages as M
 from quern.functions import text as T
 from quern.functions.order import global_rank
+from quern.functions.shared import scratch_root, stored
 from quern.operators import dedup, evalmetrics, filters, mix, quality, synth, trainlog
 from quern.plans import pipelines
 from quern.sources import loaders, sinks
@@ -252,7 +255,7 @@ def filter_meta_score(spark, d):
 def filter_heuristic(spark, d):
     t = read(spark, d, "documents")
     m = M.pair(F.col("source"), F.col("text"))
-    return t.select("doc_id", ((F.length(M.assistant_text(m)) >= 120) & filters.in_domain(M.full_text(m), ["the", "thing", "was"])).alias("kept"))
+    return t.select("doc_id", filters.heuristic_ok(m, words=["the", "thing", "was"]).alias("kept"))
 
 
 @query(f"SELECT doc_id, len(regexp_extract_all(text, '[^{DWS[1:]}+')) AS words FROM documents WHERE len(regexp_extract_all(text, '[^{DWS[1:]}+')) <= 300")
@@ -267,11 +270,12 @@ def filter_length(spark, d):
 def stage_funnel(spark, d):
     m = F.col("m")
     t = decorated(spark, d).select(M.pair(F.col("t"), F.col("t")).alias("m"))
-    passed = [F.lit(True)]
-    for c in (M.is_valid(m), filters.unambiguous(m), filters.up_to_date(m), filters.grounded(m)):
-        passed.append(passed[-1] & c)
     names = ["0 all", "1 valid", "2 unambiguous", "3 current", "4 grounded"]
-    counts = t.agg(*[F.count_if(c).alias(n) for n, c in zip(names, passed)])
+    # how many stages a row passes: each condition is evaluated once, and only behind those before it
+    depth = F.lit(0)
+    for c in (filters.grounded(m), filters.up_to_date(m), filters.unambiguous(m), M.is_valid(m)):
+        depth = F.when(c, 1 + depth).otherwise(0)
+    counts = t.select(depth.alias("depth")).agg(*[F.count_if(F.col("depth") >= i).alias(n) for i, n in enumerate(names)])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(f"`{n}`").alias("n")) for n in names])).alias("r")).select("r.*")
 
 
@@ -295,7 +299,11 @@ def dedup_priority(spark, d):
     return dedup.by_priority(keyed, "fp", "source", F.col("pos"), priority=dedup.active_priority(both)).select("pos", "source")
 
 
-@query()
+@query("""WITH RECURSIVE near AS MATERIALIZED (SELECT b.vec_id AS late, list(a.vec_id) AS early FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+ WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.30 GROUP BY b.vec_id),
+ t AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS i, early FROM embeddings LEFT JOIN near ON late = vec_id),
+ g(i, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT t.i, CASE WHEN early IS NOT NULL AND list_has_any(kept, early) THEN kept ELSE list_append(kept, vec_id) END FROM g JOIN t ON t.i = g.i + 1)
+ SELECT vec_id, label FROM embeddings WHERE vec_id IN (SELECT unnest(kept) FROM (SELECT kept FROM g ORDER BY i DESC LIMIT 1))""")
 def dedup_semantic(spark, d):
     return dedup.semantic_dedup(read(spark, d, "embeddings"), 0.30, "vec_id").select("vec_id", "label")
 
@@ -381,8 +389,7 @@ def union_sources(spark, d):
 
 @query("(SELECT source FROM documents EXCEPT SELECT * FROM (VALUES ('src0'), ('src1'), ('nowhere')) t(source)) ORDER BY source")
 def source_setdiff(spark, d):
-    asked = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in ("src0", "src1", "nowhere")])).alias("source"))
-    return read(spark, d, "documents").select("source").join(asked, "source", "left_anti").distinct()
+    return mix.unrequested(read(spark, d, "documents"), ["src0", "src1", "nowhere"])
 
 
 @query(f"SELECT doc_id FROM documents ORDER BY {keyed('doc_id')}, doc_id LIMIT 100")
@@ -477,23 +484,29 @@ def exact_match_by_group(spark, d):
 _GUESS = "CASE item_id % 3 WHEN 0 THEN text WHEN 1 THEN text || ' extra words, here.' ELSE substring(text, 1, 60) END"
 
 
-@query(f"""WITH t AS (SELECT item_id AS k, item_id % 2 AS grp, {_GUESS} AS p, text AS r FROM benchmark),
+_BLEU = f"""WITH t AS (SELECT item_id AS k, item_id % 2 AS grp, {_GUESS} AS p, text AS r FROM benchmark),
  w AS (SELECT k, grp, list_filter(string_split_regex(regexp_replace(regexp_replace(' ' || p || ' ', '([^0-9])([\\.,])', '\\1 \\2 ', 'g'), '([\\.,])([^0-9])', ' \\1 \\2', 'g'), '\\s+'), lambda x: x <> '') AS p,
   list_filter(string_split_regex(regexp_replace(regexp_replace(' ' || r || ' ', '([^0-9])([\\.,])', '\\1 \\2 ', 'g'), '([\\.,])([^0-9])', ' \\1 \\2', 'g'), '\\s+'), lambda x: x <> '') AS r FROM t),
  gp AS (SELECT grp, k, o, list_aggregate(p[i:i + o - 1], 'string_agg', ' ') AS g, count(*) AS n FROM w, range(1, 5) a(o), unnest(range(1, len(p) - o + 2)) b(i) GROUP BY ALL),
  gr AS (SELECT grp, k, o, list_aggregate(r[i:i + o - 1], 'string_agg', ' ') AS g, count(*) AS n FROM w, range(1, 5) a(o), unnest(range(1, len(r) - o + 2)) b(i) GROUP BY ALL),
  c AS (SELECT grp, o, sum(least(gp.n, coalesce(gr.n, 0))) AS matches, sum(gp.n) AS total FROM gp LEFT JOIN gr USING (grp, k, o, g) GROUP BY grp, o),
  l AS (SELECT grp, sum(len(p)) AS pred_len, sum(len(r)) AS ref_len FROM w GROUP BY grp)
- SELECT grp::BIGINT AS grp, o AS "order", matches::BIGINT AS matches, total::BIGINT AS total, pred_len::BIGINT AS pred_len, ref_len::BIGINT AS ref_len FROM c JOIN l USING (grp)""")
+ SELECT grp::BIGINT AS grp, o AS "order", matches::BIGINT AS matches, total::BIGINT AS total, pred_len::BIGINT AS pred_len, ref_len::BIGINT AS ref_len FROM c JOIN l USING (grp)"""
+
+
+@query(_BLEU)
 def bleu_counts(spark, d):
     t = read(spark, d, "benchmark").select("item_id", (F.col("item_id") % 2).alias("grp"), F.expr(_GUESS).alias("p"), F.col("text").alias("r"))
     out = evalmetrics.bleu_counts(t, "grp", "p", "r", "item_id")
     return out.withColumn("order", F.col("order").cast("long"))
 
 
-@query()
+# an order without a match counts as 1 / (2^i * total), i being how many such orders there were so far; orders without n-grams don't count
+@query(f"""WITH c AS ({_BLEU}), z AS (SELECT *, sum((matches = 0)::INT) OVER (PARTITION BY grp ORDER BY "order") AS empty FROM c WHERE total > 0),
+ p AS (SELECT grp, sum(ln(CASE WHEN matches > 0 THEN matches / total ELSE 1 / (pow(2, empty) * total) END)) / count(*) AS mean, bool_or(matches > 0) AS met, max(pred_len) AS pl, max(ref_len) AS rl FROM z GROUP BY grp)
+ SELECT grp, round(CASE WHEN met THEN 100 * exp(CASE WHEN pl >= rl THEN 0 ELSE 1 - rl / pl END + mean) ELSE 0 END, 6) AS bleu FROM p""")
 def bleu_by_group(spark, d):
-    return evalmetrics.bleu_scores(bleu_counts(spark, d), "grp")
+    return evalmetrics.bleu_scores(bleu_counts(spark, d), "grp").withColumn("bleu", F.round("bleu", 6))
 
 
 @query()
@@ -603,8 +616,9 @@ def metric_compare3(spark, d):
  SELECT category, base, tuned FROM a LEFT JOIN b USING (category)""")
 def category_metric_join(spark, d):
     t = read(spark, d, "events")
-    side = lambda rows, n: rows.groupBy(F.col("event_type").alias("category")).agg(F.round(F.avg("value"), 6).alias(n))
-    return side(t.filter("event_id % 2 = 0"), "base").join(side(t.filter("event_id % 2 = 1 AND event_type <> 'view'"), "tuned"), "category", "left")
+    side = lambda rows: rows.groupBy(F.col("event_type").alias("category")).agg(F.round(F.avg("value"), 6).alias("value"))
+    base = side(t.filter("event_id % 2 = 0"))
+    return evalmetrics.with_metrics(base.select("category"), base=base, tuned=side(t.filter("event_id % 2 = 1 AND event_type <> 'view'")))
 
 
 _PATHS = [("run/checkpoint-900", 5), ("run/checkpoint-1000", 3), ("run/checkpoint-final", 9)]
@@ -660,6 +674,80 @@ def metrics_json(spark, d):
     return back.select("x.model", "x.loss", F.col("x.tuned")["em"].alias("em"), "x.fast.speed", F.size("x.rows").cast("long").alias("n"))
 
 
+# ---- files: tables written by a sink or in a source's format, then read by its loader
+
+
+def _folder(spark, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT doc_id, md5({CLEAN % 'source'}) AS question_md5, md5({CLEAN % 'text'}) AS answer_md5 FROM documents")
+def question_answer_scan(spark, d):
+    t = read(spark, d, "documents").select(F.col("doc_id").alias("pos"), F.col("source").alias("question"), F.col("text").alias("answer"))
+    made = loaders.load(["ibranze"], {"ibranze": loaders.split_or_first({"validation": t})})["ibranze"]
+    m = F.col("messages")
+    return made.select(F.col("pos").alias("doc_id"), F.md5(m[1]["content"]).alias("question_md5"), F.md5(m[2]["content"]).alias("answer_md5"))
+
+
+@query(f"SELECT row_number() OVER (ORDER BY doc_id) AS pos, md5({CLEAN % 'text'}) AS answer_md5, 'perf' AS source FROM documents WHERE text IS NOT NULL")
+def jsonl_round_trip(spark, d):
+    """Written in order by the sink, read back by the loader: places are those of the lines."""
+    path = _folder(spark, "jsonl")
+    t = read(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.col("source").alias("question"), F.col("text").alias("answer"))
+    sinks.json_lines(t, path, ["doc_id"])
+    m = F.col("messages")
+    return loaders.json_lines(spark, path).select("pos", F.md5(m[2]["content"]).alias("answer_md5"), "source")
+
+
+@query("SELECT row_number() OVER (ORDER BY p_partkey) AS pos, p_name AS member FROM part WHERE p_partkey % 5 > 1")
+def api_entries_scan(spark, d):
+    """Lines that are blank, broken or lack a member are skipped; places count what is left."""
+    path = _folder(spark, "api")
+    entry = F.to_json(F.struct(F.col("p_name").alias("member"), F.col("p_type").alias("summary")))
+    line = F.when(F.col("p_partkey") % 5 == 0, "{broken").when(F.col("p_partkey") % 5 == 1, '{"member": " ", "summary": "s"}').otherwise(entry)
+    read(spark, d, "part").orderBy("p_partkey").select(line.alias("value")).write.text(path)
+    kept = loaders.api_entries(spark, path)
+    return global_rank(kept, F.col("pos"), name="place").select(F.col("place").alias("pos"), "member")
+
+
+@query("SELECT event_id AS step, CASE WHEN event_type = 'view' THEN round(value, 3) END AS train_loss, CASE WHEN event_type = 'error' THEN round(value, 3) END AS eval_loss FROM events")
+def csv_log_round_trip(spark, d):
+    """Appended in two halves, read as one log."""
+    path = _folder(spark, "log")
+    t = read(spark, d, "events").select(
+        *[
+            {"step": F.col("event_id"), "train_loss": F.when(F.col("event_type") == "view", F.round("value", 3)), "eval_loss": F.when(F.col("event_type") == "error", F.round("value", 3))}
+            .get(c, F.lit(None).cast("double"))
+            .alias(c)
+            for c in trainlog.LOG_COLUMNS
+        ]
+    )
+    for half in (0, 1):
+        sinks.append_log(t.filter(F.col("step") % 2 == half), path)
+    return loaders.training_log(spark, path).select("step", "train_loss", "eval_loss")
+
+
+@query(f"""SELECT doc_id, length({STRIP % 'text'}) AS answer_len FROM labels JOIN documents USING (doc_id)
+ WHERE coalesce(quality * 10 >= 5, true) AND toxic = 0 AND regexp_matches(source || ' ' || {STRIP % 'text'}, '(?i)\\b(unity|transform|src1)\\b')""")
+def curated_posts(spark, d):
+    t = read(spark, d, "labels").join(read(spark, d, "documents"), "doc_id")
+    t = t.select(F.col("doc_id").alias("pos"), F.col("source").alias("question"), F.col("text").alias("answer"), (F.col("quality") * 10).alias("score"), (F.col("toxic") == 0).alias("accepted"))
+    made = loaders.curated_posts(t, domain_only=True, words=["unity", "transform", "src1"])
+    return made.select(F.col("pos").alias("doc_id"), F.length(F.col("messages")[2]["content"]).alias("answer_len"))
+
+
+@query("SELECT item_id % 3 AS category, count(*) AS n, avg((item_id % 3 = 0)::INT) AS em, NULL::DOUBLE AS codebleu FROM benchmark GROUP BY 1")
+def metrics_by_category(spark, d):
+    t = read(spark, d, "benchmark").select("item_id", (F.col("item_id") % 3).alias("c"), F.expr(_GUESS).alias("p"), F.col("text").alias("r"))
+    return evalmetrics.by_category(t, "c", "p", "r", "item_id").select("category", "n", "em", "codebleu")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN n_chars + 0.5::DOUBLE END AS ppl FROM documents")
+def parse_estimate(spark, d):
+    output = F.expr("CASE WHEN doc_id % 3 = 0 THEN text ELSE concat(text, '\\nFinal estimate: PPL = 1.25\\nFinal estimate: PPL = ', n_chars, '.5 +/- 0.1\\n') END")
+    return read(spark, d, "documents").select("doc_id", T.estimate(output).alias("ppl"))
+
+
 # ---- the whole build
 
 
@@ -682,9 +770,92 @@ def build_corpus_e2e(spark, d):
     )
     m = F.col("messages")
     valid = talks(spark, d).filter(M.is_valid(m)).unionByName(made)
-    kept = pipelines.unique(valid).filter(filters.short_enough(T.word_count(M.rendered(m)), 600))
+    kept = stored(pipelines.unique(valid).filter(filters.short_enough(T.word_count(M.rendered(m)), 600)).withColumn("key", F.concat("source", F.lit(":"), "pos")), "e2e")
     mixed = mix.apply_mix(kept, {"ibranze": 50, "vishnuoi": 30, "erocal": 20}, mix.TARGET_TOTAL)
-    mixed = mixed.withColumn("key", F.concat("source", F.lit(":"), "pos"))
-    train, test = mix.split(mixed, 0.1, key="key")
-    both = train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
+    both = mixed.withColumn("test", mix.split_flag(mixed, 0.1, key="key"))
     return both.groupBy("source", "test").agg(F.count("*").alias("n"), F.avg(F.length(M.last_user(m))).alias("avg_user_len"), F.avg(F.length(M.assistant_text(m))).alias("avg_asst_len"))
+
+
+def build_sql(sources: dict[str, str], recipe: dict[str, float] | None, caps: dict[str, int], keep: str, pad: bool, target: int | None, most_words: int, ratio: float) -> str:
+    """The whole build as SQL. sources: name to a condition on documents; keep: a condition on u (question) and t (answer)."""
+    union = " UNION ALL ".join(f"SELECT '{n}' AS source, {i} AS no, doc_id AS pos, {c} AS q, text AS a FROM documents WHERE {w}" for i, (n, (w, c)) in enumerate(sources.items()))
+    cap = "CASE source " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in caps.items()) + " END" if caps else "NULL"
+    place = "lpad(no::VARCHAR, 6, '0') || ':' || lpad(pos::VARCHAR, 20, '0')" if pad else "no || ':' || pos"
+    render = "'<|im_start|>user' || chr(10) || q || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || a || '<|im_end|>' || chr(10)"
+    total = "min(n / share) OVER ()" + (f", {target}" if target is not None else "")
+    shares = ", ".join(f"('{s}', {w})" for s, w in (recipe or {}).items())
+    mixed = (
+        f"""n AS (SELECT source, count(*) AS n FROM l GROUP BY source), h AS (SELECT source, n, weight::DOUBLE / sum(weight) OVER () AS share FROM (VALUES {shares}) v(source, weight) JOIN n USING (source) WHERE weight > 0),
+ k AS (SELECT source, least(round_even(least({total}) * share, 0)::BIGINT, n) AS k FROM h),
+ x AS (SELECT l.* EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {keyed('source, place')}, place) AS r FROM l) l JOIN k USING (source) WHERE r <= k)"""
+        if recipe
+        else "x AS (SELECT * FROM l)"
+    )
+    return f"""(WITH s AS ({union}), c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {keyed('source, pos')}, pos) AS rank FROM s) WHERE rank <= coalesce({cap}, rank)),
+ v AS (SELECT *, {CLEAN % 'q'} AS u, a AS t FROM c WHERE trim(q) <> '' AND trim(a) <> ''), o AS (SELECT * FROM v WHERE {keep}),
+ f AS (SELECT *, sha256('user:' || {SQUEEZE % 'lower(q)'} || chr(10) || 'assistant:' || {SQUEEZE % 'lower(a)'}) AS fp FROM o),
+ both_there AS (SELECT bool_or(source = 'ibranze') AND bool_or(source = 'vishnuoi') AS yes FROM o),
+ d AS (SELECT * FROM (SELECT f.*, row_number() OVER (PARTITION BY fp ORDER BY CASE WHEN yes THEN CASE source WHEN 'ibranze' THEN 0 WHEN 'vishnuoi' THEN 1 ELSE 2 END END, no, pos) AS first FROM f, both_there) WHERE first = 1),
+ l AS (SELECT source, {place} AS place, q, a FROM d WHERE len(regexp_extract_all({render}, '[^{DWS[1:]}+')) <= {most_words}), {mixed}
+ SELECT source, place, md5({render}) AS text_md5, row_number() OVER (ORDER BY {keyed('place')}, place) <= ceil((SELECT count(*) FROM x) * {ratio}) AS is_test, length(a) AS answer_len FROM x)"""
+
+
+def _sources(spark, d, sources: dict) -> dict[str, DataFrame]:
+    t = read(spark, d, "documents")
+    return {
+        n: t.filter(w).select(F.col("doc_id").alias("pos"), F.array(M.message("user", F.expr(c)), M.message("assistant", F.col("text"))).alias("messages"), F.lit(n).alias("source"))
+        for n, (w, c) in sources.items()
+    }
+
+
+# condition on documents, and the question
+_DEFAULT = {"ibranze": ("doc_id % 2 = 0", "source"), "vishnuoi": ("doc_id % 3 <> 1", "source"), "erocal": ("doc_id % 5 < 3", "lang")}
+_DEFAULT_MIX, _DEFAULT_CAPS = {"ibranze": 45, "vishnuoi": 30, "erocal": 25}, {"erocal": 150}
+
+
+def _both_parts(train: DataFrame, test: DataFrame) -> DataFrame:
+    both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    return both.select("source", F.col("pos").alias("place"), F.md5("text").alias("text_md5"), "is_test")
+
+
+@query(f"SELECT source, place, text_md5, is_test FROM {build_sql(_DEFAULT, _DEFAULT_MIX, _DEFAULT_CAPS, 'true', False, 100_000, 700, 0.05)}")
+def build_default(spark, d):
+    """The default build itself: caps, validity, priority dedup, length, mix, split."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return _both_parts(*pipelines.build_corpus(_sources(spark, d, _DEFAULT), _DEFAULT_CAPS, _DEFAULT_MIX, mix.TARGET_TOTAL, max_length=700, output="text"))
+
+
+_PHASES = ({"ibranze": 70, "erocal": 30}, {"erocal": 55, "perf": 45})
+_EXTRA = {"perf": ("doc_id % 4 = 1", "lang")}
+
+
+def _phase_sql(no: int) -> str:
+    named = {n: w for n, w in (_DEFAULT | _EXTRA).items() if n in _PHASES[no]}
+    return f"SELECT {no + 1}::BIGINT AS phase, source, place, text_md5, is_test FROM {build_sql(named, _PHASES[no], {}, 'true', False, None, 2048, 0.05)}"
+
+
+@query(f"{_phase_sql(0)} UNION ALL {_phase_sql(1)}")
+def build_two_phases(spark, d):
+    """The curriculum build itself, with an extra source in its second phase."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        made = pipelines.build_curriculum(_sources(spark, d, _DEFAULT), *_PHASES, extra=_sources(spark, d, _EXTRA), output="text")
+    parts = [_both_parts(*pair).withColumn("phase", F.lit(i + 1).cast("long")) for i, pair in enumerate(made)]
+    return parts[0].unionByName(parts[1])
+
+
+_STRICT = {"hypersniper": ("doc_id % 2 = 1", f"({DECORATED})"), "erocal": ("doc_id % 3 = 0", "text")}
+_STRICT_MIX = {"hypersniper": 60, "erocal": 40}
+_STRICT_KEEP = f"{AMBIGUOUS} AND NOT (regexp_matches(t, {q(_OLD)}) OR regexp_matches(t, {q(_WORN)})) AND {speculative('t')}"
+
+
+@query(f"""WITH b AS {build_sql(_STRICT, _STRICT_MIX, {}, _STRICT_KEEP, True, 98_000, 900, 0.05)}
+ SELECT source, count(*) AS n, sum(answer_len)::BIGINT AS answer_chars FROM b GROUP BY source UNION ALL SELECT 'abstain', round_even((SELECT count(*) FROM b) * 0.02::DOUBLE / 0.98::DOUBLE, 0)::BIGINT, NULL""")
+def build_strict(spark, d):
+    """The strict build itself (without embeddings, which are an input of the semantic step): filters, dedup, length, mix, abstentions, split."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        train, test, _ = pipelines.build_strict(_sources(spark, d, _STRICT), _STRICT_MIX, max_length=900)
+    chars = F.when(F.col("source") != "abstain", F.length(M.assistant_text(F.col("messages"))))
+    return train.unionByName(test).groupBy("source").agg(F.count("*").alias("n"), F.sum(chars).alias("answer_chars"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.messages import MESSAGES, SYSTEM_PROMPT, detected, message, pair, with_system
-from quern.functions.text import clean, strip_html
+from quern.functions.order import global_rank
+from quern.functions.text import clean, squeezed, unescape_each, without_tags
 from quern.operators import filters
 
 _MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
@@ -56,31 +57,28 @@ def auto_schema(df: DataFrame, source: str = "vishnuoi", pos: str | None = "pos"
 
 
 def strip_messages(df: DataFrame) -> DataFrame:
-    """Users' and assistants' contents without mark-up; system turns as they are. One row per turn for the step in Python,
-    then conversations are put together again by position."""
-    turns = df.select("pos", "source", F.posexplode_outer("messages").alias("at", "m"))
-    bare = F.when(F.col("m.role").isin("user", "assistant"), strip_html(F.col("m.content"))).otherwise(F.col("m.content"))
-    turns = turns.withColumn("m", F.when(F.col("m").isNotNull(), message(F.col("m.role"), bare)))
-    ordered = F.array_sort(F.collect_list(F.when(F.col("m").isNotNull(), F.struct("at", "m"))))
-    back = turns.groupBy("pos", "source").agg(F.transform(ordered, lambda x: x["m"]).alias("messages"))
-    return back.select("pos", "messages", "source")
+    """Users' and assistants' contents without mark-up; system turns as they are. Each row stays a row: the step in Python maps the list of its contents."""
+    m = F.col("messages")
+    bare = unescape_each(F.transform(m, lambda x: F.when(x["role"].isin("user", "assistant"), without_tags(x["content"]))))
+    made = F.zip_with(m, F.col("bare"), lambda x, b: F.when(x.isNotNull(), message(x["role"], F.when(x["role"].isin("user", "assistant"), squeezed(b)).otherwise(x["content"]))))
+    return df.withColumn("bare", bare).select("pos", made.cast(MESSAGES).alias("messages"), "source")
 
 
 def exchange_posts(df: DataFrame, source: str = "gamedev", pos: str | None = "pos") -> DataFrame:
     return strip_messages(auto_schema(df, source, pos))
 
 
-def curated_posts(df: DataFrame, min_score: int = 5, domain_only: bool = True, source: str = "gamedev", pos: str | None = "pos") -> DataFrame:
+def curated_posts(df: DataFrame, min_score: int = 5, domain_only: bool = True, source: str = "gamedev", pos: str | None = "pos", words: list[str] | None = None) -> DataFrame:
     """Posts whose scores and acceptance hold (checked on the raw rows, before any conversion); without such columns, long answers of
-    the domain."""
+    the domain. words: those of the domain, if not DOMAIN_WORDS."""
     if not filters.has_meta(df):
         made = exchange_posts(df, source, pos)
-        return made.filter(filters.heuristic_ok(F.col("messages"), domain_only))
+        return made.filter(filters.heuristic_ok(F.col("messages"), domain_only, words=words))
     made = exchange_posts(df.filter(filters.meta_ok(df, min_score)), source, pos)
     if domain_only:
         from quern.functions.messages import full_text
 
-        made = made.filter(filters.in_domain(full_text(F.col("messages"))))
+        made = made.filter(filters.in_domain(full_text(F.col("messages")), words))
     return made
 
 
@@ -94,15 +92,43 @@ def keyword_documents(df: DataFrame, keyword: str = "unity", max_docs: int = 500
 
 
 def keyword_stream(spark: SparkSession, path: str, schema: str | T.StructType, keyword: str = "unity", text: str = "text", source: str = "common_pile", gap: str = "\n\n") -> DataFrame:
-    """The same as a stream over files that keep arriving; the sink decides when it has enough."""
+    """The same as a stream over files that keep arriving; ``take_stream`` ends it when it has enough."""
     df = spark.readStream.schema(schema).parquet(path)
     parts = F.filter(F.split(F.col(text), gap, -1), lambda p: clean(p) != "")
     hits = df.filter(F.contains(F.lower(F.col(text)), F.lit(keyword.lower()))).select(parts.alias("parts")).filter(F.size("parts") >= 2)
     return hits.select(pair(F.col("parts")[0], F.array_join(F.slice("parts", 2, F.size("parts")), gap)).alias("messages"), F.lit(source).alias("source"))
 
 
+def take_stream(stream: DataFrame, path: str, checkpoint: str, most: int = 5000, **trigger) -> int:
+    """Writes the first ``most`` rows of a stream as Parquet, a folder per batch, and ends it then (or when the trigger does): files that come later are never
+    read. Returns the number of rows. A batch that runs again replaces its own folder."""
+    import time
+
+    have: dict[int, int] = {}
+
+    def put(batch: DataFrame, number: int) -> None:
+        room = most - sum(n for b, n in have.items() if b != number)
+        if room > 0:
+            at = f"{path}/batch={number}"
+            batch.limit(room).write.mode("overwrite").parquet(at)
+            have[number] = batch.sparkSession.read.parquet(at).count()
+
+    running = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    while running.isActive and sum(have.values()) < most:
+        running.awaitTermination(1)
+        time.sleep(0.05)
+    if running.isActive:
+        running.stop()
+    elif running.exception() is not None:
+        raise running.exception()
+    return sum(have.values())
+
+
 def _placed(df: DataFrame) -> DataFrame:
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    """df with ``pos``, a row's place by file name and order in the file, however files were split and dealt to tasks."""
+    at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__no")]
+    placed = global_rank(df.select("*", *at), F.col("__file"), F.col("__start"), F.col("__no"), name="pos")
+    return placed.drop("__file", "__start", "__no")
 
 
 def json_lines(spark: SparkSession, path: str, source: str = "perf", schema: str | T.StructType | None = None) -> DataFrame:

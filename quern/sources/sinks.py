@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions.messages import rendered
 from quern.functions.text import cell_text
 from quern.operators.evalmetrics import improvement, improvement_label
+from quern.operators.mix import restored
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -65,7 +66,9 @@ def rendered_text(df: DataFrame, pos: str = "pos") -> DataFrame:
     return df.agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "\n\n").alias("text"))
 
 
-def json_lines(df: DataFrame, path: str) -> None:
+def json_lines(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Rows as JSON lines, in order of the columns named, if any are."""
+    df = restored(df, *order) if order else df
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 

@@ -282,3 +282,111 @@ def test_keyword_stream(spark, tmp_path):
     q = s.writeStream.format("memory").queryName("kw").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("kw").count() == 1
+
+
+@pytest.mark.parametrize("signs,patterns", [(filters.REMOVED_SIGNS, filters.REMOVED_API_PATTERNS), (filters.DEPRECATED_SIGNS, filters.DEPRECATED_API_PATTERNS)])
+def test_signs_cover_the_patterns(spark, signs, patterns):
+    """Verdicts with the signs are those of the patterns alone."""
+    import random
+
+    rng = random.Random(9)
+    words = re.findall("[A-Za-z0-9]+", " ".join(patterns).replace("\\b", " ").replace("\\s", " ").replace("\\w", " "))
+    texts = ["".join(rng.choice([*words, *words, ".", ".", " ", " ", "[", "]", ";", "new ", "this."]) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    texts += [re.sub(r"\\b|\\s[*+]|\(\?[=!<][^)]*\)|[()?*]", "", p).replace("\\", "") + "; WWW" for p in patterns]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", filters._has(F.col("t"), signs, patterns).alias("quick"), F.col("t").rlike(filters._java("|".join(patterns))).alias("plain")).collect()
+    assert [r.t for r in rows if r.quick != r.plain] == [] and any(r.plain for r in rows)
+    assert all(any(s in p.replace("\\", "") for s in signs) for p in patterns)
+
+
+@pytest.mark.parametrize("threshold", [0.30, 0.50, 0.80, 0.92])
+def test_planes_keep_their_recall(spark, threshold):
+    """More than 20,000 vectors with planted pairs just above the threshold."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((300, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal(base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = threshold + 0.005
+    planted = np.concatenate([base, c * base + np.sqrt(1 - c * c) * side])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(planted)], "vec_id long, embedding array<double>")
+    rest = spark.range(1000, 21_000).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.randn(5) * 0 + F.sin(F.xxhash64("id", i).cast("double"))).alias("embedding"))
+    rest = rest if threshold >= 0.8 else rest.limit(0)
+    got = {(r.a, r.b) for r in dedup.similar_pairs(df.union(rest), threshold, exact=False).filter("b < 1000").collect()}
+    assert len({(i, i + 300) for i in range(300)} & got) >= 0.9 * 300
+
+
+def test_semantic_dedup_of_clusters_and_copies(spark):
+    """Equal, near, zero and null vectors, against going through the rows one by one."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((12, 8))
+    x = centres[rng.integers(0, 12, 400)] + 0.25 * rng.standard_normal((400, 8))
+    x[50:120] = x[0]
+    x[130:135] = 0
+    rows = [(i, v.tolist() if i != 140 else None, int(rng.integers(1, 9))) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "pos long, embedding array<double>, n int")
+    for by_length in (False, True):
+        kept: list[int] = []
+        for i, v, n in sorted(rows, key=lambda r: (-r[2] if by_length else 0, r[0])):
+            u = np.array(v or [0.0] * 8)
+            u = u / np.linalg.norm(u) if u.any() else u
+            if not kept or max(float(u @ k) for _, k in kept) < 0.9:
+                kept.append((i, u))
+        got = {r.pos for r in dedup.semantic_dedup(df, 0.9, length=F.col("n") if by_length else None).collect()}
+        assert got == {i for i, _ in kept}
+
+
+def test_caps_with_ties_and_null_sources(spark):
+    df = spark.range(1000).select(F.col("id").alias("pos"), F.when(F.col("id") % 2 == 0, "a").alias("source"))
+    assert sorted(r["count"] for r in mix.cap_per_source(df, 7).groupBy("source").count().collect()) == [7, 7]
+    same = spark.range(100).select(F.lit(1).alias("pos"), F.lit("a").alias("source"))
+    assert mix.cap_per_source(same, 7).count() == 7 and mix.cap_per_source(same, {"a": 0}).count() == 0
+    assert mix.cap_per_source(df, {"b": 3}).count() == 1000
+    train, test = mix.split(df.limit(0), 0.5)
+    assert train.count() == test.count() == 0
+    with pytest.warns(UserWarning):
+        assert mix.apply_mix(df, {"a": 1, "gone": 2, "c": None}).count() == 500
+
+
+def test_stream_stops_when_it_has_enough(spark, tmp_path):
+    for i in range(6):
+        spark.range(4).selectExpr("concat('Unity ', id, '\n\nb') AS text").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    s = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    assert loaders.take_stream(s, str(tmp_path / "out"), str(tmp_path / "cp"), most=6) == 6
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+
+
+def test_build_telemetry(spark):
+    seen = []
+    sources = {s: rows_of(spark, n, s) for s, n in (("ibranze", 40), ("erocal", 30))}
+    pipelines.build_corpus(sources, telemetry=seen)
+    assert seen == [("valid", 70, 70), ("length", 70, 70)]
+    with pytest.warns(UserWarning, match="contains the other"):
+        pipelines.build_corpus({s: rows_of(spark, 5, s) for s in ("ibranze", "vishnuoi")})
+
+
+def test_token_counter_and_places(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["some words, here.", "", None, "é🙂 x" * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    tok = Tokenizer.from_file(path)
+    assert [r.n for r in df.select(T.token_counter(path)(F.col("t")).alias("n")).collect()] == [len(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.text(alphabet="ab .x", max_size=14), st.text(alphabet="ab .x", max_size=14))
+def test_rouge_l_is_the_longest_common_subsequence(a, b):
+    from itertools import combinations
+
+    x, y = evalmetrics.rouge_tokens(a), evalmetrics.rouge_tokens(b)
+    longest = next((n for n in range(min(len(x), len(y)), 0, -1) if {*combinations(x, n)} & {*combinations(y, n)}), 0)
+    p, r = (longest / len(x), longest / len(y)) if longest else (0, 0)
+    assert evalmetrics.rouge_l_f(a, b) == pytest.approx(2 * p * r / (p + r) if longest else 0.0)
