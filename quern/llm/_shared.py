@@ -6,40 +6,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.functions.shared import scratch_root, shared_dir, stored
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), one of our own.
-
-    The value is a URI or path that every executor can write to. It is never a machine-local
-    temporary folder on a cluster, because there the setting is present.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "/tmp/checkpoints"
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+__all__ = ["per_process", "scratch", "shared_dir", "stored", "table"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in the shared folder."""
-    return f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as a table in the shared folder and read back: lineage ends there, and a
-    lost executor costs nothing that was computed before."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-
 def per_process(key: str, make):
     """make(), kept by this worker process for later tasks with the same key. One object at a time is kept. Functions reach
     workers by value, so their own globals don't outlive a task; a module entry does."""
