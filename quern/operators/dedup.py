@@ -52,9 +52,11 @@ def overlapping(sources: list[str], mix: dict[str, float] | None) -> bool:
 #: Rows of a block; a task compares two blocks, TILE rows against TILE rows at a time.
 BLOCK_ROWS = 8_000
 TILE = 1_000
-#: Share of pairs at the threshold that random planes must find, the most planes of a table, and the share of all comparisons from which planes aren't worth it.
+#: Share of pairs at the threshold that random planes must find, the most planes of a table and the most tables (copies of each row), and the share of all comparisons from
+#: which planes aren't worth it.
 RECALL = 0.95
 MOST_PLANES = 20
+MOST_TABLES = 32
 MOST_WORK = 0.25
 
 
@@ -64,16 +66,16 @@ def _unit(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn(vector, F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v))
 
 
-def planes_for(threshold: float, recall: float = RECALL) -> tuple[int, int] | None:
+def planes_for(threshold: float, recall: float = RECALL, most: int = MOST_PLANES) -> tuple[int, int] | None:
     """(planes, tables) whose buckets hold a pair at the threshold together with at least this probability, at the least work; None if comparing all is
     hardly more work. Two vectors at an angle agree on a random plane with probability 1 - angle / pi, and on a table if they do on all of its planes."""
     agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
     best = None
-    for planes in range(1, MOST_PLANES + 1):
+    for planes in range(1, most + 1):
         one = agree**planes
         tables = 1 if one >= recall else math.ceil(math.log(1 - recall) / math.log(1 - one))
         work = tables / 2**planes
-        if work <= MOST_WORK and (best is None or work < best[0]):
+        if tables <= MOST_TABLES and work <= MOST_WORK and (best is None or work < best[0]):
             best = (work, planes, tables)
     return best and best[1:]
 
@@ -81,9 +83,9 @@ def planes_for(threshold: float, recall: float = RECALL) -> tuple[int, int] | No
 def _meetings(rows: DataFrame, bucket: list[str]) -> DataFrame:
     """Each row once for every pair of blocks of its bucket that it takes part in: p <= q, and i, its own block. A bucket has as many
     blocks as its rows need, so none meets whole in one task."""
-    sizes = rows.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
+    sizes = rows.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     # an empty bucket list makes one group: its size is a single row
-    sized = rows.join(sizes, bucket) if bucket else rows.join(F.broadcast(sizes))
+    sized = rows.join(sizes.filter("n > 1"), bucket) if bucket else rows.join(F.broadcast(sizes))
     own = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
     dealt = sized.withColumn("i", own).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select(*bucket, "k", "v", *[c for c in ("r",) if c in rows.columns], "i", F.least("i", "o").alias("p"), F.greatest("i", "o").alias("q"))
@@ -112,7 +114,8 @@ def similar_pairs(df: DataFrame, threshold: float, key: str = "vec_id", vector:
     import pandas as pd
 
     rows = _unit(df.select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v")).dropna(), "v")
-    chosen = None if exact else planes_for(threshold, recall)
+    # so many planes that a bucket has some dozens of rows; the recall is the same with any number
+    chosen = None if exact else planes_for(threshold, recall, max(1, min(MOST_PLANES, (rows.count() >> 6).bit_length())))
     bucket: list[str] = []
     if chosen:
         planes, tables = chosen
