@@ -1,7 +1,7 @@
 """SimHash near-dedup: vantage-point trees over fingerprints, then connected components.
 
 Fingerprints are hashed from whole texts (see ``fingerprint``). Copies collapse first: the trees hold
-each distinct fingerprint once, with the smallest document id that has it.
+each distinct fingerprint once.
 
 Search. Two 64-bit fingerprints that differ in at most 3 bits differ in at most 1 bit in one of their
 32-bit halves. Each half is a metric space of its own with radius 1, in which a vantage-point tree prunes well (the
@@ -31,6 +31,8 @@ SEED = 42
 MAX_BITS = 3
 SAMPLE = 8192
 LEAF = 4096
+#: Trees of a million leaves travel as 6 MB each. Beyond LEAF times that many distinct fingerprints (4e9) leaves grow: 5e10 make about 50,000 residents of a leaf.
+MOST_DEPTH = 20
 BLOCK = 512
 _FOLD = bytes(0x20 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -77,16 +79,17 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """id, fp (bigint, the 64 bits) for every row."""
+    """id, h (a hash of the text), fp (bigint, the 64 bits) for every row."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, k) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["id", "fp"])
+            fps = np.array([fingerprint(t, k) for t in batch.column(2).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["id", "h", "fp"])
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "id bigint, fp bigint")
+    text = F.col(text_col).cast("string")
+    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return chosen.mapInArrow(run, "id bigint, h bigint, fp bigint")
 
 
 # ---- vantage-point trees over 32-bit halves
@@ -99,18 +102,17 @@ def _popcount(x: np.ndarray) -> np.ndarray:
 def fit_tree(sample: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Vantage points and radii of a complete tree (heap order). sample: uint32 halves."""
     rng = np.random.default_rng(seed)
-    points, radii = np.zeros(2**depth - 1, np.uint32), np.full(2**depth - 1, 15, np.int16)
+    # A vantage point far from the crowd splits it more evenly than one amid it.
+    points, radii = rng.integers(0, 2**32, 2**depth - 1, dtype=np.uint32), np.full(2**depth - 1, 15, np.int16)
     inside = {0: sample}
-    for node in range(2**depth - 1):
-        own = inside.pop(node, sample[:0])
-        # A vantage point far from the crowd splits it more evenly than one amid it.
-        points[node] = rng.integers(0, 2**32, dtype=np.uint32) if len(own) < 2 else own[rng.integers(len(own))] ^ rng.integers(0, 2**32, dtype=np.uint32)
-        if len(own) >= 32:
+    while inside:  # nodes that the sample says nothing of keep the middle radius
+        node, own = inside.popitem()
+        if node < len(points) and len(own) >= 32:
+            points[node] ^= own[rng.integers(len(own))]
             d = _popcount(own ^ points[node])
             radii[node] = _even_radius(d)
             left = d <= radii[node]
-            if 2 * node + 2 < len(points):
-                inside[2 * node + 1], inside[2 * node + 2] = own[left], own[~left]
+            inside[2 * node + 1], inside[2 * node + 2] = own[left], own[~left]
     return points, radii
 
 
@@ -193,7 +195,7 @@ def near_links(distinct: DataFrame, bits: int = MAX_BITS, leaf: int = LEAF, samp
     if bits > 3:
         raise ValueError("halves with radius 1 cover up to 3 bits")
     rows = distinct.count()
-    depth = max(0, min(16, int(np.ceil(np.log2(max(1, rows / leaf))))))
+    depth = max(0, min(MOST_DEPTH, int(np.ceil(np.log2(max(1, rows / leaf))))))
     picked = np.array([r[0] for r in distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()], np.int64).view(np.uint64)
     shift = (0, 32)
     trees = [fit_tree((picked >> np.uint64(s)).astype(np.uint32), depth, s + 1) for s in shift]
@@ -219,7 +221,7 @@ def near_links(distinct: DataFrame, bits: int = MAX_BITS, leaf: int = LEAF, samp
     return sent.groupBy("shard").applyInPandas(search, "a bigint, b bigint")
 
 
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in links (a, b): component is the smallest id reachable.
 
     Large-star and small-star rounds; each halves the longest chains, and a hub's neighbours never meet
@@ -234,7 +236,7 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     edges = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     before = measure(edges)
-    for _ in range(max_rounds if before[0] else 0):
+    while before[0]:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -245,24 +247,42 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         if after == before:
             break
         before = after
-    else:
-        if before[0]:
-            raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
+def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """id, h (a hash of the text, which with the id tells rows apart), fp; written once."""
+    return stored(fingerprints(docs, id_col, text_col, k), "simhash")
+
+
+def _labelled(fps: DataFrame, bits: int) -> DataFrame:
+    """fps with component_id. Every distinct fingerprint is a node, rows with a null id or not, so that any can link others; a component's name is then its smallest id."""
+    distinct = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    found = components(near_links(distinct.select("fp", F.col("fp").alias("id")), bits))
+    named = distinct.join(found, distinct["fp"] == found["id"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return fps.join(named.join(names, "component").select("fp", "component_id"), "fp", "left")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id.
 
     Null and empty texts have fingerprint 0 and link like any other. Rows with a null id get a
-    fingerprint, and the component of the rows with ids that share it (null if there are none). Repeated
+    fingerprint, link others, and have the component of the rows with ids that they reach (null if there are none). Repeated
     rows stay repeated. An empty table gives an empty result. Other columns are ignored.
     """
-    fps = stored(fingerprints(docs, id_col, text_col, k), "simhash")
-    distinct = fps.groupBy("fp").agg(F.min("id").alias("id")).filter(F.col("id").isNotNull())
-    distinct = stored(distinct, "simhash-distinct")
-    found = components(near_links(distinct, bits))
-    labels = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return fps.join(labels, "fp", "left").select(
+    return _labelled(_fingerprinted(docs, id_col, text_col, k), bits).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
+    """docs, all columns, without the rows whose component has a smaller id.
+
+    The verdict is a row's, by id and text: of two rows with one id and different texts each goes or stays with its own component. Rows of a component
+    that share its smallest id all stay. Rows with a null id are never dropped.
+    """
+    labelled = _labelled(_fingerprinted(docs, id_col, text_col, k), bits)
+    gone = labelled.filter("id <> component_id").select(F.col("id").alias("gone_id"), F.col("h").alias("gone_h")).distinct()
+    same = (docs[id_col].cast("long") == gone["gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["gone_h"])
+    return docs.join(gone, same, "left_anti")

@@ -193,3 +193,21 @@ def test_simhash_edges(spark, edge_docs, no_docs):
     assert by[(1, zero)] == by[(2, zero)] == by[(3, zero)] == by[(None, zero)] == 1
     assert {r.component_id for r in got if r.doc_id in (4, 5)} == {4}
     assert simhash.simhash_components(no_docs).count() == 0
+
+
+def test_null_ids_bridge(spark, monkeypatch):
+    """A fingerprint that only a row without an id has links two others."""
+    prints = {"a": 1, "b": 7, "c": 63, "d": 0xFFFF << 40, "e": 1 << 50 | 0xFFFF}
+    monkeypatch.setattr(simhash, "fingerprint", lambda t, k: prints[t])
+    df = spark.createDataFrame([(2, "a"), (None, "b"), (1, "c"), (None, "e"), (4, "d"), (3, "d")], "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.simhash_components(df).collect()}
+    hexed = {t: f"{v:016x}" for t, v in prints.items()}
+    assert got == {(2, hexed["a"]): 1, (None, hexed["b"]): 1, (1, hexed["c"]): 1, (None, hexed["e"]): None, (4, hexed["d"]): 3, (3, hexed["d"]): 3}
+
+
+def test_near_dedup_is_by_row(spark):
+    """One id with two texts: the one without a copy stays."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(3, b, 1), (5, a, 2), (5, b, 3), (None, a, 4), (None, None, 5), (7, None, 6)], "doc_id long, text string, h long")
+    assert sorted(r.h for r in simhash.near_dedup(df).collect()) == [1, 2, 4, 5, 6]
+    assert simhash.near_dedup(df).columns == df.columns and simhash.near_dedup(df.limit(0)).count() == 0
