@@ -2,16 +2,15 @@
 
 Each task keeps OPEN windows of ``size`` tokens. A document's full windows are cut off first; what is left goes
 to the open window in which it fits best. Where it fits none, the fullest window is emitted, topped up with the head of the piece if its gap is worth a
-cut, and the piece opens a new one. When a task ends its open windows are leftovers. Leftovers of GROUP tasks meet in one task of a second pass, which refills
-windows by cutting freely; the last, partly filled one is cut at powers of two, which need no padding. So
-padding is at most MIN_CUT - 1 tokens for each window emitted.
+cut, and the piece opens a new one. When a task ends its open windows are leftovers. Leftovers meet in a small tree: those of GROUP tasks refill
+windows by cutting freely and pass on what doesn't fill one, less than a window; of REST such groups each, the last, partly filled window is cut at powers of two,
+which need no padding. So padding is at most MIN_CUT - 1 tokens for each window emitted.
 
-Memory: a task holds its open windows' pieces with their ids, and one document. The second pass holds the
-leftovers of GROUP tasks. Sequence ids are unique: the task's number (or the group's, above bit 52) and a
-counter. Everything follows from the partition's rows and order, so a task that runs again gives the same.
+Memory: a task holds its open windows' pieces with their ids, and one document; a group of the tree at most GROUP * OPEN windows, then REST. Sequence ids are
+unique: level (bits 61 and 62), the task's or group's number (29 bits) and a counter (32 bits); a number that doesn't fit raises. Everything follows from the partition's rows and order, so a task that runs again gives the same.
 
 A null text counts as empty: a document of the end id alone. Null and repeated ids pass through. An empty table gives an empty
-result. Other columns are ignored.
+result. Rows that share an id are packed each by itself. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +26,8 @@ from quern.llm._shared import per_process, stored
 
 SIZE = 4096
 OPEN = 64
-GROUP = 32
+GROUP = 4
+REST = 256
 MIN_CUT = 32
 END_ID = 2
 CACHED_WORDS = 1_000_000
@@ -116,9 +116,10 @@ class Bins:
 
     def put(self, doc, start: int, ids: bytes, total: int) -> None:
         size, n = self.size, len(ids) // 4
-        while n >= size:
-            self.emit([[doc, start, ids[: 4 * size], total]])
-            start, ids, n = start + size, ids[4 * size :], n - size
+        full = n // size * size
+        for at in range(0, full, size):
+            self.emit([[doc, start + at, ids[4 * at : 4 * (at + size)], total]])
+        start, ids, n = start + full, ids[4 * full :], n - full
         if not n:
             return
         best = None
@@ -143,20 +144,20 @@ class Bins:
             self.emit(best[1])
 
 
-def _rows(pieces: list, sequence: int, keep_ids: bool = False) -> list[tuple]:
+def _rows(pieces: list, sequence: int, keep_ids: bool) -> list[tuple]:
     rows, offset = [], 0
     for doc, start, ids, total in pieces:
         n = len(ids) // 4
-        rows.append((doc, start, n, zlib.crc32(ids), total, sequence, offset, *([ids if keep_ids else None] if keep_ids is not None else [])))
+        rows.append((doc, start, n, zlib.crc32(ids), total, sequence, offset, ids if keep_ids else None))
         offset += n
     return rows
 
 
-def refill(pieces: list, size: int) -> list[list]:
-    """Leftover pieces cut into full windows; the rest into windows whose lengths are powers of two."""
+def refill(pieces: list, size: int, to_the_end: bool) -> tuple[list[list], list]:
+    """Leftover pieces cut into full windows, and what is left, less than a window; to the end: that too, in windows whose lengths are powers of two."""
     left = sum(len(p[2]) // 4 for p in pieces)
     queue, windows = list(reversed(pieces)), []
-    while left:
+    while left >= size or (left and to_the_end):
         room = size if left >= size else 1 << (left.bit_length() - 1)
         left -= room
         window = []
@@ -168,7 +169,13 @@ def refill(pieces: list, size: int) -> list[list]:
             if len(ids) > 4 * n:
                 queue.append([doc, start + n, ids[4 * n :], total])
         windows.append(window)
-    return windows
+    return windows, queue[::-1]
+
+
+def sequence(level: int, part: int, made: int) -> int:
+    if part >> 29 or made >> 32:
+        raise ValueError("more tasks or windows of a task than sequence ids have room for")
+    return level << 61 | part << 32 | made
 
 
 def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, most: int = OPEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +196,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, most: int =
 
         def emit(pieces):
             nonlocal made
-            rows.extend(_rows(pieces, part << 32 | made, False))
+            rows.extend(_rows(pieces, sequence(0, part, made), False))
             made += 1
 
         bins = Bins(size, most, emit)
@@ -205,16 +212,27 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, most: int =
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    def merge(f):
-        import pandas as pd
+    def merge(level: int, to_the_end: bool):
+        def run_group(f):
+            import pandas as pd
+
+            f = f.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+            group = int(f["group"].iloc[0])
+            pieces = [[None if pd.isna(d) else int(d), int(s), i, int(t)] for d, s, i, t in zip(f["doc_id"], f["start"], f["ids"], f["doc_tokens"])]
+            windows, rest = refill(pieces, size, to_the_end)
+            out = [r for k, w in enumerate(windows) for r in _rows(w, sequence(level, group, k), False)] + _rows(rest, group, True)
+            return pd.DataFrame(out, columns=[*_COLUMNS, "ids"]).astype({c: "Int64" for c in _COLUMNS})
 
-        f = f.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
-        group = int(f["group"].iloc[0])
-        pieces = [[None if pd.isna(d) else int(d), int(s), i, int(t)] for d, s, i, t in zip(f["doc_id"], f["start"], f["ids"], f["doc_tokens"])]
-        out = [r for k, w in enumerate(refill(pieces, size)) for r in _rows(w, 1 << 52 | group << 32 | k, None)]
-        return pd.DataFrame(out, columns=_COLUMNS).astype({c: "Int64" for c in _COLUMNS})
+        return run_group
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = stored(chosen.mapInArrow(run, _SCHEMA + ", ids binary"), "packing")
-    left = pieces.filter("ids IS NOT NULL").withColumn("group", F.floor(F.col("sequence_id") / F.lit(GROUP)).cast("long"))
-    return pieces.filter("ids IS NULL").select(*_COLUMNS).unionByName(left.groupBy("group").applyInPandas(merge, _SCHEMA))
+    with_ids = _SCHEMA + ", ids binary"
+    pieces = stored(chosen.mapInArrow(run, with_ids), "packing")
+
+    def gathered(df: DataFrame, of: int) -> DataFrame:
+        return df.filter("ids IS NOT NULL").withColumn("group", F.floor(F.col("sequence_id") / F.lit(of)).cast("long")).groupBy("group")
+
+    first = stored(gathered(pieces, GROUP).applyInPandas(merge(1, False), with_ids), "packing-leftovers")
+    last = gathered(first, REST).applyInPandas(merge(2, True), with_ids)
+    done = pieces.filter("ids IS NULL").unionByName(first.filter("ids IS NULL")).unionByName(last)
+    return done.select(*_COLUMNS)

@@ -137,6 +137,37 @@ def test_packing_edges(edge_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_cutting_is_linear():
+    """Time per window doesn't grow with the document: the bytes that are copied are those of the pieces."""
+    copied = 0
+
+    class Counted(bytes):
+        def __getitem__(self, at):
+            nonlocal copied
+            part = bytes.__getitem__(self, at)
+            copied += len(part)
+            return Counted(part)
+
+    got = []
+    packing.Bins(64, 4, got.append).put(1, 0, Counted(4 * 64 * 5000), 64 * 5000)
+    assert len(got) == 5000 and copied <= 2 * 4 * 64 * 5000
+
+
+def test_sequence_ids_do_not_meet():
+    some = [0, 1, 31, (1 << 20), (1 << 29) - 1]
+    made = [packing.sequence(level, part, k) for level in (0, 1, 2) for part in some for k in (0, 1, (1 << 32) - 1)]
+    assert len(set(made)) == len(made) and max(made) < 2**63
+    with pytest.raises(ValueError):
+        packing.sequence(0, 1 << 29, 0)
+
+
+def test_repeated_ids_with_other_texts(spark):
+    rng = random.Random(12)
+    df = spark.createDataFrame([(i % 3, prose(rng, rng.randint(0, 300))) for i in range(60)], "doc_id long, text string").repartition(9)
+    share, n = check_packing(df, 256, 4)
+    assert share < 0.1 and n >= 60
+
+
 def test_ids_by_pieces():
     ids, rng = packing.Ids(packing.tokenizer_path()), random.Random(4)
     letters = "abzÀéßÿŸĀ'sS.,!?:;-_<|>0129 \t\n\x0b\x0c\r\x1c\x85\u00a0\u2003\u3000é\u0301中한🙂İΣς"
