@@ -8,7 +8,10 @@ pieces between matches, summed in blocks, so a text with a hundred thousand matc
 
 Base kinds (email, ip, card, phone) are always reported. Added kinds: ``iban`` (mod-97 passes) and ``ssn`` (no
 checksum exists, so it needs a context word). Each span's score starts from its kind's prior and rises by
-CONTEXT_GAIN if one of the kind's context words stands in the CONTEXT_CHARS characters before it.
+CONTEXT_GAIN if one of the kind's context words stands in the CONTEXT_CHARS characters before or behind it, no further than to the second match of
+the kind on that side.
+
+An IBAN's length is its country's, so letters behind it don't spoil it; codes that are not in the public registry's list below are not looked for.
 
 A null text counts as empty; ids may be null or repeat; other columns are ignored.
 """
@@ -26,13 +29,21 @@ ADDED_MIN_SCORE = 0.5
 #: Matches whose lengths are summed together when positions are computed.
 _BLOCK = 64
 
+# Lengths of IBANs by country, from the public registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+
 # Kinds in the order of the contract, then added ones; pattern, prior score, context words.
 KINDS = {
     "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8, "email|e-mail|mail|contact|write"),
     "ip": (r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", 0.6, "ip|address|host|server|login"),
     "card": (r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?[0-9])++", 0.7, "card|visa|mastercard|amex|credit|debit|pay"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, "phone|tel|call|mobile|fax|whatsapp"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", 0.7, "iban|account|bank|konto|cuenta|compte"),
+    "iban": (rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", 0.7, "iban|account|bank|konto|cuenta|compte"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.4, "ssn|social security|security number"),
 }
 BASE = ["email", "ip", "card", "phone"]
@@ -121,13 +132,24 @@ def spans_of(text: Column, kind: str) -> Column:
         matches, gaps = both["m"], both["g"]
         lengths = F.transform(matches, lambda m, i: (F.length(gaps[i]) + F.length(m)).cast("long"))
 
+        def beside(i: Column) -> tuple[Column, Column]:
+            empty = F.lit("")
+            piece = lambda xs, at: F.coalesce(F.when(at >= 0, F.get(xs, at)), empty)
+            before = F.when(F.length(gaps[i]) >= CONTEXT_CHARS, gaps[i]).otherwise(F.concat(piece(gaps, i - 1), piece(matches, i - 1), gaps[i]))
+            behind = F.when(F.length(gaps[i + 1]) >= CONTEXT_CHARS, gaps[i + 1]).otherwise(F.concat(gaps[i + 1], piece(matches, i + 1), piece(gaps, i + 2)))
+            return F.right(before, F.lit(CONTEXT_CHARS)), F.left(behind, F.lit(CONTEXT_CHARS))
+
         def build(ends: Column) -> Column:
+            def told(i: Column) -> Column:
+                before, behind = beside(i)
+                return before.rlike(near) | behind.rlike(near)
+
             every = F.transform(
                 matches,
                 lambda m, i: F.struct(
                     m.alias("m"),
                     ends[i].alias("end"),
-                    F.round(F.least(F.lit(1.0), F.lit(prior) + F.when(F.right(gaps[i], F.lit(CONTEXT_CHARS)).rlike(near), CONTEXT_GAIN).otherwise(0.0)), 2).alias("score"),
+                    F.round(F.least(F.lit(1.0), F.lit(prior) + F.when(told(i), CONTEXT_GAIN).otherwise(0.0)), 2).alias("score"),
                 ),
             )
             good = F.filter(every, lambda s: _confirmed(kind, s["m"]) & ((s["score"] >= ADDED_MIN_SCORE) | F.lit(kind in BASE)))
@@ -151,8 +173,8 @@ def spans_of(text: Column, kind: str) -> Column:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, ``text`` (null: empty) and an array of spans per kind, named as the kind."""
     base = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("__digits", F.col("text").rlike("[0-9]"))
-    return base.select(F.col(id_col), "text", *[spans_of(F.col("text"), k).alias(k) for k in KINDS])
+    base = base.select(F.col(id_col).alias("id"), "text", F.col("text").rlike("[0-9]").alias("__digits"))
+    return base.select(F.col("id").alias(id_col), "text", *[spans_of(F.col("text"), k).alias(k) for k in KINDS])
 
 
 def redacted(text: Column, spans: Column) -> Column:

@@ -83,6 +83,15 @@ def test_added_spans_and_context(spark):
     assert (got[5].scores, got[6].scores) == ("1.0", "0.8")
 
 
+def test_ibans_by_country_and_context_behind(spark):
+    rows = [(1, "GB82 WEST 1234 5698 7654 32 OK"), (2, "NO9386011117947"), (3, "DE89370400440532013000 AND DE89370400440532013000"), (4, "ZZ82 WEST 1234 5698 7654 32"), (5, "xGB82WEST12345698765432"), (6, "GB82WEST12345698765432x")]
+    rows += [(7, "123-45-6789 is my SSN"), (8, "SSN: 123-45-6789, 987-65-4321"), (9, "123-45-6789 " + "x" * 60 + " ssn"), (10, "987-65-4321, 123-45-6789 were his ssn")]
+    got = {r.doc_id: r for r in pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_iban for i in range(1, 7)] == [1, 1, 2, 0, 0, 0]
+    assert [got[i].n_ssn for i in range(7, 11)] == [1, 2, 0, 2]
+    assert got[1].spans == "iban:0:27"
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
