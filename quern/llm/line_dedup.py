@@ -16,7 +16,8 @@ Earlier: by document id, then by line number. Lines without a word always stay.
 5. The words of a line and of the earlier line found for it are compared (common prefix and suffix); hashes alone drop nothing.
 
 Null text counts as empty. Rows with a null id come before all others. Repeated rows are treated like copies: of equal
-(id, line number) one entry stands for all, so they share their verdict. An empty table gives an empty result. Other
+(id, line number, line) one entry stands for all, so they share their verdict. Near lines are looked for by blank-separated words: lines of fewer than MIN_WORDS
+words, and so most lines in scripts without blanks, only go as equal ones. A document without a line with words has no row in the report. An empty table gives an empty result. Other
 columns are ignored.
 """
 
@@ -69,7 +70,8 @@ def _spaced(line: Column) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw")).select("id", "no", _trimmed(F.col("raw")).alias("line"))
+    parts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.posexplode(F.split(text, "\n", -1)).alias("no", "raw"))
+    return parts.select("id", "t", "no", _trimmed(F.col("raw")).alias("line"))
 
 
 def _halves(spaced: Column, n: Column) -> Column:
@@ -116,30 +118,31 @@ def _variants(near: DataFrame) -> DataFrame:
     return words.select("line", "n", F.posexplode(_keys(F.col("words"))).alias("at", "key")).select("key", (F.col("at") - 1).alias("gone"), "n", "line")
 
 
-def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per line with words: id, no, verdict ('keep', 'exact' or 'near'), keep_id and keep_no (of the line that stays in
-    its place; of a kept line its own)."""
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """id, t (a hash of the row's text), no, verdict, keep_id, keep_no."""
     lines = _lines(docs, id_col, text_col).filter(F.col("line") != "")
-    hashed = lines.select("id", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), _spaced(F.col("line")).alias("text"))
+    hashed = lines.select("id", "t", "no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), _spaced(F.col("line")).alias("text"))
     counted = hashed.withColumn("n", F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1)
-    halved = counted.select("id", "no", *_LINE, "n", F.when(F.col("n") >= min_words - 1, _halves(F.col("text"), F.col("n"))).alias("halves"))
-    place = F.struct("id", "no")
+    halved = counted.select("id", "t", "no", *_LINE, "n", F.when(F.col("n") >= min_words - 1, _halves(F.col("text"), F.col("n"))).alias("halves"))
+    place = F.struct("id", "no", "t")
     firsts = stored(
         halved.groupBy(*_LINE).agg(F.min(place).alias("first"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")), "lines"
     )
-    # a line is known by its first place, then by its hash (places without an id may coincide)
+    # a line is known by its first place, then by its hash (places of rows that share an id, or have none, may coincide)
     line = F.struct(F.col("first.id").alias("id"), F.col("first.no").alias("no"), F.col("h1").alias("h"))
     # 2: lines that share a half with another line
-    half = firsts.filter(F.col("n") >= min_words - 1).select(line.alias("line"), F.explode("halves").alias("half"))
+    half = firsts.filter(F.col("n") >= min_words - 1).select(line.alias("line"), F.col("first.t").alias("t"), F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
-    wanted = half.join(shared, "half", "left_semi").select("line.*").distinct()
-    by_doc = wanted.groupBy("id").agg(F.collect_list(F.struct("no", "h")).alias("want"))
-    texts = docs.select(F.col(id_col).alias("doc"), F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1).alias("parts"))
-    found = by_doc.join(texts, by_doc["id"].eqNullSafe(texts["doc"])).select(
+    wanted = half.join(shared, "half", "left_semi").select("line.*", "t").distinct()
+    # looked up by id and text, so that rows that share an id (or have none) spread, and a row's want is no more than its own lines
+    by_doc = wanted.groupBy("id", "t").agg(F.collect_list(F.struct("no", "h")).alias("want"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("own"), F.split(text, "\n", -1).alias("parts"))
+    found = by_doc.join(texts, (by_doc["t"] == texts["own"]) & by_doc["id"].eqNullSafe(texts["doc"])).select(
         "id", F.explode(F.transform("want", lambda w: F.struct(w["no"].alias("no"), w["h"].alias("h"), F.get("parts", w["no"]).alias("raw")))).alias("e")
     )
     found = found.select("id", "e.*").withColumn("text", _trimmed(F.col("raw")))
-    # a repeated id with another text: only the row that has this very line counts
+    # only the row that has this very line counts, should texts share a hash
     found = found.filter(F.xxhash64("text") == F.col("h"))
     spaced = found.select(F.struct("id", "no", "h").alias("line"), _spaced(F.col("text")).alias("text")).dropDuplicates(["line"])
     near = stored(spaced.withColumn("n", F.size(F.split("text", " "))), "line-texts")
@@ -166,10 +169,11 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .filter(within_one_edit(F.col("wa"), F.col("wb")))
         .select("line", F.struct("to.id", "to.no").alias("near"))
     )
-    classes = firsts.select(*_LINE, "first", line.alias("line")).join(sure, "line", "left").drop("line")
+    classes = firsts.select(*_LINE, F.struct("first.id", "first.no").alias("first"), line.alias("line")).join(sure, "line", "left").drop("line")
     earliest = F.coalesce("near", "first")
-    return hashed.select("id", "no", *_LINE).join(classes, _LINE).select(
-        F.col("id").alias(id_col),
+    return hashed.select("id", "t", "no", *_LINE).join(classes, _LINE).select(
+        "id",
+        "t",
         F.col("no").cast("long").alias("no"),
         F.when(~F.struct("id", "no").eqNullSafe(F.col("first")), "exact").when(F.col("near").isNotNull(), "near").otherwise("keep").alias("verdict"),
         earliest["id"].alias("keep_id"),
@@ -177,6 +181,12 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per line with words: id, no, verdict ('keep', 'exact' or 'near'), keep_id and keep_no (of the line that stays in
+    its place; of a kept line its own)."""
+    return _verdicts(docs, id_col, text_col, min_words).drop("t").withColumnRenamed("id", id_col)
+
+
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """A row per id that has a line with words: n_lines, n_exact, n_near and ``dropped``, the numbers of the lines
     that go. (A document's lines are gathered, never those of a group of lines.)"""
@@ -191,15 +201,15 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """docs (all columns) with the lines that go taken out of the text; nulls stay null."""
-    v = line_verdicts(docs, id_col, text_col, min_words).filter("verdict <> 'keep'")
-    gone = v.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("no").alias("__gone"))
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i.cast("long"))), "\n")
-    return (
-        docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]), "left")
-        .withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    """docs (all columns) with the lines that go taken out of the text; nulls stay null. A row loses its own text's lines alone, also where others share its id."""
+    v = _verdicts(docs, id_col, text_col, min_words).filter("verdict <> 'keep'")
+    gone = v.groupBy("id", "t").agg(F.collect_set("no").alias("gone"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"), text.alias("own"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("hash"))
+    kept = F.array_join(F.filter(F.split("own", "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), i.cast("long"))), "\n")
+    joined = rows.join(gone, (rows["hash"] == gone["t"]) & rows["doc"].eqNullSafe(gone["id"]), "left")
+    joined = joined.withColumn("new", F.when(F.col("gone").isNull(), F.col("own")).otherwise(kept))
+    return joined.select(*[F.col("new").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 SQL = r"""

@@ -211,3 +211,17 @@ def test_near_dedup_is_by_row(spark):
     df = spark.createDataFrame([(3, b, 1), (5, a, 2), (5, b, 3), (None, a, 4), (None, None, 5), (7, None, 6)], "doc_id long, text string, h long")
     assert sorted(r.h for r in simhash.near_dedup(df).collect()) == [1, 2, 4, 5, 6]
     assert simhash.near_dedup(df).columns == df.columns and simhash.near_dedup(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id, or none: each row loses its own lines only."""
+    rows = [(1, "one line that is here first\nkept a"), (2, "kept b\none line that is here first"), (2, "kept c\nkept d"), (None, "x y z\nkept e"), (None, "kept f\nx y z"), (None, "kept g\nkept h")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in got) == sorted(["one line that is here first\nkept a", "kept b", "kept c\nkept d", "x y z\nkept e", "kept f", "kept g\nkept h"])
+
+
+def test_many_rows_without_an_id(spark):
+    """Their lines are looked up by text: time grows with the rows, not with their square."""
+    df = spark.range(20_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "concat('page number ', id, ' of this very long report') AS text")
+    r = {x.verdict: x["count"] for x in line_dedup.line_verdicts(df).groupBy("verdict").count().collect()}
+    assert r == {"near": 19_999, "keep": 1}
