@@ -4,8 +4,8 @@ The vocabulary is a fixed public one (its path is a parameter): pieces, with a m
 distribution over pieces. A word's probability is the sum over all of its segmentations of the product of its
 pieces' probabilities, by the forward algorithm; a text's is the product over its words. Distributions are
 learned by expectation-maximisation (forward-backward over the same lattices), from word counts of a bounded
-sample: TRAIN_DOCS labelled rows per language, those with the smallest hashes of their ids. That bound is the only one; every text is scored
-whole.
+sample: TRAIN_DOCS labelled rows per language, those with the smallest hashes of their ids, and of their blank-separated strings the TRAIN_STRINGS most frequent
+of up to STRING_CHARS characters. Those bounds are the only ones; every text is scored whole.
 
 A word is a run of letters, lower-cased; runs of over WORD_CHARS letters are scored in parts. Words are looked up by
 the blank-separated strings they came in, so each is segmented once per worker (up to CACHED strings are kept).
@@ -23,15 +23,22 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm._shared import per_process
+from quern.llm._shared import per_process, stored
 
 TRAIN_DOCS = 300
+TRAIN_STRINGS = 200_000
+STRING_CHARS = 200
+OVERSAMPLE = 8
 ROUNDS = 4
 WORD_CHARS = 40
 CACHED = 1_000_000
 UNKNOWN = 1e-6  # of a letter that no piece covers, in every language
 SMOOTHING = 0.02  # pseudo-count of each piece
 UND = "und"
+#: What ``filter_language`` asks for by default.
+MIN_SCORE = 0.3
+MIN_FIT = -4.0
+ALPHABET = 26
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 
@@ -157,16 +164,41 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(True))
 
 
-def training_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int) -> dict[str, dict[str, int]]:
-    """Counts of blank-separated strings per language, of the sample. The ranking moves ids alone, and every task passes on
-    at most train_docs of them per language."""
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int) -> DataFrame:
+    """lang, text of the sample: per language the train_docs rows with the smallest hashes of their ids (ties: by text), equal rows once.
+
+    Counts per language say below which hash about OVERSAMPLE times as many lie; only those are ranked, so the ranking's task per language gets no more the more rows
+    there are. Should fewer be found (an id that fills a language's rows), the bound is raised until it no longer binds.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.select("id", "lang").withColumn("rank", rank).filter(F.col("rank") <= train_docs).select("id", "lang").distinct()
-    strings = rows.join(chosen, ["id", "lang"]).select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("s"))
+    rows = rows.filter(F.col("lang").isNotNull() & ~held_out("id")).withColumn("h", F.xxhash64("id"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.filter(F.col("text").isNotNull())
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "t"))
+    share = {lang: OVERSAMPLE * train_docs / n for lang, n in counts.items()}
+    while True:
+        bounds = [F.when(F.col("lang") == lang, F.lit(int(-(2**63) + s * 2**64))) for lang, s in share.items() if s < 1]
+        below = (F.col("h") < F.coalesce(*bounds)) | F.coalesce(*bounds).isNull() if bounds else F.lit(True)
+        keys = rows.filter(below).select("lang", "h", "id", F.xxhash64("text").alias("t")).distinct()
+        chosen = stored(keys.withColumn("rank", rank).filter(F.col("rank") <= train_docs).drop("rank"), "langid-sample")
+        found = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
+        short = [lang for lang, s in share.items() if s < 1 and found.get(lang, 0) < train_docs]
+        if not short:
+            break
+        share |= {lang: share[lang] * 16 for lang in short}
+    picked = rows.withColumn("t", F.xxhash64("text")).join(F.broadcast(chosen.select("lang", "id", "t")), ["id", "lang", "t"])
+    return picked.dropDuplicates(["lang", "id", "t"]).select("lang", "text")
+
+
+def training_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int) -> dict[str, dict[str, int]]:
+    """Counts of blank-separated strings per language, of the sample: the TRAIN_STRINGS most frequent of up to STRING_CHARS characters, so that what comes to
+    the driver is bounded in bytes as well."""
+    chosen = training_rows(docs, id_col, text_col, lang_col, train_docs)
+    strings = chosen.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("s")).filter(F.length("s") <= STRING_CHARS)
+    counted = strings.groupBy("lang", "s").count()
+    most = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "s"))
     out: dict[str, dict[str, int]] = {}
-    for lang, s, n in strings.groupBy("lang", "s").count().orderBy("lang", "s").collect():
+    for lang, s, n in counted.withColumn("place", most).filter(F.col("place") <= TRAIN_STRINGS).drop("place").orderBy("lang", "s").collect():
         out.setdefault(lang, {})[s] = n
     return out
 
@@ -181,7 +213,7 @@ class Scorer:
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.words: dict[str, int] = {}
-        width = self.prob.shape[1] + 1  # the last column counts words
+        width = self.prob.shape[1] + 2  # the last columns count letters and ends of words, and words
         self.rows, self.values = np.zeros((1 << 12, width)), np.zeros((1 << 12, width))
 
     @staticmethod
@@ -196,7 +228,8 @@ class Scorer:
         if len(words) > known:
             new = list(words)[known:]
             self.values = self._room(self.values, len(words))
-            self.values[known : len(words), :-1] = Lattice(new, self.starts).totals(self.prob)
+            self.values[known : len(words), :-2] = Lattice(new, self.starts).totals(self.prob)
+            self.values[known : len(words), -2] = np.fromiter(map(len, new), np.int64, len(new))  # the mark at the start stands for the end
             self.values[known : len(words), -1] = 1
         base = len(self.index)
         self.rows = self._room(self.rows, base + len(strings))
@@ -209,7 +242,7 @@ class Scorer:
             self.rows[base + full] = np.add.reduceat(self.values[flat], heads, axis=0)
 
     def score(self, texts: list[str | None]) -> list[np.ndarray]:
-        """For each text: log-probability per language, then the number of words."""
+        """For each text: log-probability per language, then the numbers of letters (with ends of words) and of words."""
         split = [(t or "").split() for t in texts]
         if len(self.index) > CACHED:
             self.clear()
@@ -228,12 +261,12 @@ def train(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     return langs, prob, known
 
 
-def add_language(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """docs (all columns) with ``__lang_pred`` and ``__score``."""
+def add_language(docs: DataFrame, model, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score", fit_col: str = "fit") -> DataFrame:
+    """docs as ``row`` (a struct of all columns, whatever their names), then three columns: the prediction, its score, and how much likelier
+    the text is in that language than as letters at random (nats per word, each of ALPHABET letters and a word's end being equally likely; 0 for ``und``)."""
     import pyarrow as pa
 
     langs, prob, known = model
-    place = docs.columns.index(text_col)
     names = list(known)
     key = f"langid-{hash((prob.tobytes(), tuple(names)))}"
 
@@ -242,24 +275,39 @@ def add_language(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                labels, scores = [], []
-                for row in scorer.score(part.column(place).to_pylist()):
+                labels, scores, fits = [], [], []
+                for row in scorer.score(part.column(1).to_pylist()):
                     if not langs or not row[-1]:
                         labels.append(UND)
                         scores.append(0.0)
+                        fits.append(0.0)
                         continue
-                    best = int(np.argmax(row[:-1]))
+                    best = int(np.argmax(row[:-2]))
                     labels.append(langs[best])
-                    scores.append(float(1 / np.exp(row[:-1] - row[best]).sum()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "__lang_pred", "__score"])
+                    scores.append(float(1 / np.exp(row[:-2] - row[best]).sum()))
+                    fits.append(float((row[best] + row[-2] * np.log(ALPHABET + 1)) / row[-1]))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())], schema=pa.schema([part.schema.field(0), (pred_col, pa.string()), (score_col, pa.float64()), (fit_col, pa.float64())]))
+
+    chosen = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = chosen.select("row", F.lit("").alias(pred_col), F.lit(0.0).alias(score_col), F.lit(0.0).alias(fit_col)).schema
+    return chosen.mapInArrow(run, schema)
+
 
-    schema = docs.select("*", F.lit("").alias("__lang_pred"), F.lit(0.0).alias("__score")).schema
-    return docs.mapInArrow(run, schema)
+def filter_language(docs: DataFrame, model, languages: list[str] | None = None, min_score: float = MIN_SCORE, min_fit: float = MIN_FIT, text_col: str = "text") -> DataFrame:
+    """docs (all columns) whose language is told: of the languages wanted (None: any that was learned), with a score of at least min_score, and a text that fits that
+    language (at least min_fit, see ``add_language``), which letters at random don't. Texts without a letter go. With no language learned, all
+    others stay: nothing can be told of them."""
+    if not model[0]:
+        return docs.filter(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
+    told = add_language(docs, model, text_col, "p", "s", "f")
+    kept = told.filter((F.col("p") != UND) & (F.col("s") >= min_score) & (F.col("f") >= min_fit))
+    if languages is not None:
+        kept = kept.filter(F.col("p").isin(languages))
+    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, held_out, lang_pred, score. Only the text is read for a prediction."""
+    """id, held_out, lang_pred, score, fit. Only the text is read for a prediction."""
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return add_language(chosen, model).select(
-        F.col("id").alias(id_col), held_out("id").alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score")
-    )
+    told = add_language(chosen.select("id", "text"), model)
+    return told.select(F.col("row.id").alias(id_col), held_out("row.id").alias("held_out"), "lang_pred", "score", "fit")

@@ -261,6 +261,76 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert {r.lang_pred for r in langid.predict(edge_docs, langid.train(no_docs)).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_and_exact(spark):
+    """The rows with the smallest hashes, however many there are; an id that fills a language gives its rows alone."""
+    rows = [(i, f"text {i}", "en" if i % 3 else "de") for i in range(4000)] + [(9001, "same", "fr")] * 3000 + [(9005 + 3 * i, f"z{i}", "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.training_rows(df, "doc_id", "text", "lang", 20).collect()
+    hashed = df.filter(~langid.held_out("doc_id")).selectExpr("lang", "text", "xxhash64(doc_id) AS h").distinct().collect()
+    want = set()
+    for lang in ("en", "de", "fr"):
+        want |= {(r.lang, r.text) for r in sorted((r for r in hashed if r.lang == lang), key=lambda r: r.h)[:20]}
+    assert len(got) == len(want) and {(r.lang, r.text) for r in got} == want
+
+
+def test_filter_language(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.train(docs)
+    rows = [(1, "xqzvkj wrtpsd qqq zxcvb hgfdjk", "a"), (2, None, "b"), (3, "123", "c"), *((10 + i, r.text, r.lang) for i, r in enumerate(docs.limit(50).collect()))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string")
+    kept = langid.filter_language(df, model)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == set(range(10, 60))
+    assert {r.lang_pred for r in langid.filter_language(df, model, languages=["de"]).collect()} == {"de"}
+    untaught = langid.train(docs.limit(0))
+    assert {r.doc_id for r in langid.filter_language(df, untaught).collect()} == {1, *range(10, 60)}
+
+
+def test_scores_match_all_segmentations(spark, monkeypatch):
+    """The whole query's arithmetic against plain Python: every segmentation of every word enumerated, learning by counting them."""
+    known = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "▁ba": 5, "ba": 6}
+    monkeypatch.setattr(langid, "pieces", lambda path: known)
+    monkeypatch.setattr(langid, "vocabulary_path", lambda: "")
+    rng = random.Random(8)
+    make = {"x": lambda: " ".join("".join(rng.choice("aab") for _ in range(rng.randint(1, 5))) for _ in range(6)), "y": lambda: " ".join("".join(rng.choice("abb") for _ in range(rng.randint(1, 4))) for _ in range(6))}
+    rows = [(i, make["xy"[i % 2]](), "xy"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def ways(word):
+        if not word:
+            return [[]]
+        found = [[p, *rest] for p in known if word.startswith(p) for rest in ways(word[len(p) :])]
+        return found
+
+    prob = {}
+    for lang in "xy":
+        words = [w for i, t, own in rows if own == lang and zlib.crc32(str(i).encode()) % 3 != 1 for w in t.split()]
+        use = {p: 0.0 for p in known}
+        for w in words:  # the first estimate counts each arc of a word's lattice once
+            marked = "▁" + w
+            for i in range(len(marked)):
+                for j in range(i + 1, len(marked) + 1):
+                    if marked[i:j] in known:
+                        use[marked[i:j]] += 1
+        for step in range(langid.ROUNDS + 1):
+            total = sum(v + langid.SMOOTHING for v in use.values())
+            p = {k: (v + langid.SMOOTHING) / total for k, v in use.items()}
+            if step == langid.ROUNDS:
+                break
+            use = {k: 0.0 for k in known}
+            for w in words:
+                weights = [(s, np.prod([p[k] for k in s])) for s in ways("▁" + w)]
+                whole = sum(x for _, x in weights)
+                for s, x in weights:
+                    for k in s:
+                        use[k] += x / whole
+        prob[lang] = p
+    got = {r.doc_id: r for r in langid.predict(df, langid.train(df)).collect()}
+    for i, t, _ in rows:
+        logs = {lang: sum(np.log(sum(np.prod([prob[lang][k] for k in s]) for s in ways("▁" + w))) for w in t.split()) for lang in "xy"}
+        best = max("xy", key=lambda k: logs[k])
+        assert got[i].lang_pred == best and got[i].score == pytest.approx(1 / sum(np.exp(v - logs[best]) for v in logs.values()))
+
+
 # ---- passages
 
 
