@@ -45,9 +45,9 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """A WARC/1.1 record. A revisit keeps the HTTP header, with the payload's length, and no payload."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def record_bytes(page_id: int | None, url: str | None, payload: bytes | None, digest: str, refers_to: int | None, revisit: bool, length: int | None = None) -> bytes:
+    """A WARC/1.1 record. A revisit keeps the HTTP header, with the payload's length (to be given where the payload isn't), and no payload."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % (len(payload) if length is None else length)
     block = http if revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
@@ -141,14 +141,19 @@ class _Out:
 
 
 def with_roles(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_revisit_bytes: int) -> DataFrame:
-    """id, url, payload, revisit, refers_to. The smallest id per digest is an aggregate, joined back, so
-    copies are never gathered; Spark splits a hot digest's rows in the join."""
-    rows = pages.select(
-        F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload")
-    ).withColumn("digest", F.sha1("payload"))
-    first = rows.groupBy("digest").agg(F.min("id").alias("first"))
-    again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")) & (F.octet_length("payload") >= min_revisit_bytes)
-    return rows.join(first, "digest").select("id", "url", "payload", again.alias("revisit"), F.when(again, F.col("first")).alias("refers_to"))
+    """id, url, payload (null for revisits), digest, payload_bytes, revisit, refers_to.
+
+    An aggregate per digest gives the smallest id and one copy of the payload, so a payload travels once per task that has it; rows go to it without theirs, and
+    Spark splits a hot digest's rows in the join.
+    """
+    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).withColumn("digest", F.unhex(F.sha1("payload")))
+    first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.any_value("payload").alias("payload"))
+    light = rows.select("id", "url", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
+    again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")) & (F.col("payload_bytes") >= min_revisit_bytes)
+    return light.join(first, "digest").select(
+        "id", "url", F.when(~again, F.col("payload")).alias("payload"), "digest", "payload_bytes", again.alias("revisit"), F.when(again, F.col("first")).alias("refers_to")
+    )
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -167,10 +172,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             done.append((f"{folder}/raw/part-{part:06d}-{made:04d}.warc.gz", count))
 
         for batch in batches:
-            for page, url, payload, revisit, refers in zip(*(c.to_pylist() for c in batch.columns)):
+            for page, url, payload, digest, length, revisit, refers in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     out, z, count, held = _Out(f"{folder}/raw/part-{part:06d}-{made:04d}.warc.gz"), zlib.compressobj(6, zlib.DEFLATED, _GZIP), 0, 0
-                data = record_bytes(page, url, payload, base32_sha1(payload), refers, revisit)
+                data = record_bytes(page, url, payload, base64.b32encode(digest).decode(), refers, revisit, length)
                 out.write(z.compress(data))
                 count, held = count + 1, held + len(data)
                 if held >= ROLL_BYTES:
