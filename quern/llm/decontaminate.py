@@ -21,7 +21,6 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quern.llm._shared import per_process, stored
 
@@ -154,15 +153,23 @@ def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int):
     yield shard
 
 
+_HIT = "struct<n_words:bigint,spans:array<struct<a:bigint,b:bigint>>,items:array<string>>"
+
+
 def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """docs with ``__n_words``, ``__spans`` (array of start and end words) and ``__items`` (ids as strings)."""
+    found = _found(docs, items, window, text_col, item_id, item_text, shard_words)
+    return found.select("row.*", F.col("hit.n_words").alias("__n_words"), F.col("hit.spans").alias("__spans"), F.col("hit.items").alias("__items"))
+
+
+def _found(docs: DataFrame, items: DataFrame, window: int, text_col: str, item_id: str = "item_id", item_text: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+    """row (a struct of all columns, whatever their names), text, hit (number of words, merged spans, items met)."""
     import pyarrow as pa
 
     span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-    added = "__n_words bigint, __spans array<struct<a:bigint,b:bigint>>, __items array<string>"
-    out = docs.select("*", *[F.lit(None).cast(t).alias(n) for n, t in (("__n_words", "bigint"), ("__spans", "array<struct<a:bigint,b:bigint>>"), ("__items", "array<string>"))])
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(added).fields])
-    place = docs.columns.index(text_col)
+    hit = pa.struct([("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
+    out = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast(_HIT).alias("hit"))
+    schema = out.schema
 
     def one_pass(frame: DataFrame, shard: list) -> DataFrame:
         key = f"automaton-{window}-{hashlib.sha1(repr(shard).encode('utf-8', 'surrogatepass')).hexdigest()}"
@@ -170,21 +177,18 @@ def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col:
         def run(batches):
             machine = per_process(key, lambda: Automaton([(item, words_of(text)) for item, text in shard], window))
             for batch in batches:
-                n_words, spans, met = [], [], []
-                for text, had, ids in zip(batch.column(place).to_pylist(), batch.column(-2).to_pylist(), batch.column(-1).to_pylist()):
+                hits = []
+                for text, had in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                     words = words_of(text)
                     found, items_met = machine.scan(words)
                     merged = []
-                    for a, b in sorted([*found, *((s["a"], s["b"]) for s in had or [])]):
+                    for a, b in sorted([*found, *((s["a"], s["b"]) for s in (had or {}).get("spans") or [])]):
                         if merged and merged[-1]["b"] >= a:
                             merged[-1]["b"] = max(merged[-1]["b"], b)
                         else:
                             merged.append({"a": a, "b": b})
-                    n_words.append(len(words))
-                    spans.append(merged)
-                    met.append(sorted(items_met | set(ids or [])))
-                columns = [*batch.columns[:-3], pa.array(n_words, pa.int64()), pa.array(spans, span), pa.array(met, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                    hits.append({"n_words": len(words), "spans": merged, "items": sorted(items_met | set((had or {}).get("items") or []))})
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, hit)], names=batch.schema.names)
 
         return frame.mapInArrow(run, schema)
 
@@ -195,17 +199,20 @@ def with_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col:
     return out
 
 
+def _n_hit(spans: str = "hit.spans"):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["b"] - s["a"])
+
+
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs."""
-    found = with_hits(docs.select(F.col(id_col), F.col(text_col).alias("text")), items, window)
-    n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, s: a + s["b"] - s["a"])
+    found = _found(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), items, window, "text")
     return found.select(
-        F.col(id_col),
-        F.col("__n_words").alias("n_words"),
-        n_hit.alias("n_hit"),
-        F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"),
+        F.col("row.id").alias(id_col),
+        F.col("hit.n_words").alias("n_words"),
+        _n_hit().alias("n_hit"),
+        F.size("hit.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit.items", ","), 256).alias("items_sha256"),
+        (_n_hit() > 0).alias("contaminated"),
     )
 
 
@@ -228,18 +235,17 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, text_col: str = "text") -> DataFrame:
     """docs (all columns) with hit spans cut out of the text; a document with a larger share of hit words
     than ``max_coverage`` goes. With ``max_coverage=0`` every contaminated document goes."""
-    found = with_hits(docs, items, window, text_col)
-    n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, s: a + s["b"] - s["a"])
-    kept = found.filter(n_hit <= F.col("__n_words") * F.lit(max_coverage))
+    found = _found(docs, items, window, text_col)
+    kept = found.filter(_n_hit() <= F.col("hit.n_words") * F.lit(max_coverage))
 
-    @F.udf("string")
+    @F.udf("string", useArrow=True)
     def trimmed(text, spans):
         return cut(text, [(s["a"], s["b"]) for s in spans]) if spans else text
 
+    text = F.col(f"row.`{text_col}`")
     if max_coverage > 0:
-        text = F.when(F.size("__spans") > 0, trimmed(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
-        kept = kept.withColumn(text_col, text)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        text = F.when(F.size("hit.spans") > 0, trimmed(F.col("text"), F.col("hit.spans"))).otherwise(F.col("text"))
+    return kept.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 SQL = r"""
