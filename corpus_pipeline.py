@@ -14,9 +14,9 @@ from quern.llm._shared import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter go."""
-    labelled = langid.add_language(docs, langid.train(docs))
-    return labelled.filter(labelled["__lang_pred"] != langid.UND).select(*[labelled[c] for c in docs.columns])
+    """Documents whose language is told, by score and fit (``langid.filter_language`` with its defaults); those without a letter, in no learned language or of
+    random letters go. With nothing to learn from, all with letters stay."""
+    return langid.filter_language(docs, langid.train(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
