@@ -84,3 +84,19 @@ def test_filter_has_no_false_negatives_and_few_false_positives(spark):
     for i, b in enumerate(bits):
         passed = passed.filter(passed[f"w{i}"].bitwiseAND(b) != 0)
     assert passed.count() < 400
+
+
+def test_runs_meet_their_partners_only(spark):
+    """Each round deals by the run's own number, merges sorted input, and needs no other exchange."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    merged = exact_dedup.merge_runs(exact_dedup._digests(docs, "doc_id", docs["text"]), runs=27, fan_in=3)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("shufflepartitionidpassthrough") == 3 and plan.count("Exchange") == 4 and plan.count("HashAggregate") == 0
+
+
+def test_listed_pages(spark):
+    """A list may name pages as well as hosts; a page's siblings are not on it."""
+    listed = spark.createDataFrame([("shop.example/bad/1",), ("evil.example/",)], "canonical string")
+    pages = spark.createDataFrame([(1, "http://shop.example/bad/1"), (2, "http://shop.example/bad/2"), (3, "http://www.evil.example/x"), (4, "http://ok.example/" + "p" * 100_000)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, listed, 2).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow"}
