@@ -430,3 +430,76 @@ def test_passages_do_not_depend_on_partitions(spark, monkeypatch):
     many = sorted(map(tuple, substring_dedup.shared_passages(df.repartition(40, "doc_id")).collect()))
     assert one == many
     assert len([r for r in one if r[0] == 501]) == 2
+
+
+def jaccard(a, b):
+    from collections import Counter
+
+    x, y = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (a, b))
+    shared = sum((x & y).values())
+    return shared / (sum(x.values()) + sum(y.values()) - shared)
+
+
+def test_counted_windows_match_brute_force():
+    """Windows of both texts at the same offset, with multiplicity, few tokens and many."""
+    from collections import Counter
+
+    rng = np.random.default_rng(3)
+    for kinds in (3, 30, 10**6):
+        a = rng.integers(0, kinds, 400).astype(np.uint64)
+        b = np.where(rng.random(400) < 0.12, rng.integers(0, kinds, 400), a).astype(np.uint64)
+        for starts in (np.arange(355), np.sort(rng.choice(355, 60, False))):
+            want = [p for p in starts.tolist() if sum((Counter(a[p : p + 46].tolist()) & Counter(b[p : p + 46].tolist())).values()) >= 41]
+            assert substring_dedup._alike(a, b, 46, starts, 41) == want
+
+
+def test_recall_of_near_passages(spark):
+    """Edited copies of passages of many lengths amid other words, alone or with an earlier copy that is edited elsewhere."""
+    rng = random.Random(31)
+    rows, want = [], {}
+    for i in range(150):
+        n, edits = rng.choice([(50, 1), (60, 1), (100, 2), (200, 5)])
+        passage, copy = prose(rng, n).split(), None
+        while copy is None or jaccard(passage, copy) < 0.8:
+            copy = list(passage)
+            for at in rng.sample(range(n), edits):
+                copy[at] = f"edit{i}"
+        rows += [(10 * i, f"{prose(rng, 40)} {' '.join(passage)} {prose(rng, 30)}"), (10 * i + 2, f"{prose(rng, 20)} {' '.join(copy)} {prose(rng, 40)}")]
+        want[10 * i + 2] = 10 * i
+        if i % 3 == 0:  # an earlier document between them, which has another edit
+            other = list(passage)
+            other[rng.randrange(n)] = "elsewhere"
+            rows.append((10 * i + 1, f"{prose(rng, 30)} {' '.join(other)} {prose(rng, 10)}"))
+    got = {r.doc_id for r in substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert len(got & want.keys()) >= 0.95 * len(want)
+
+
+def test_near_means_windows_of_equal_width(spark):
+    """A document whose shingles all occur somewhere in a far longer earlier one, never together, is no copy of it."""
+    rng = random.Random(41)
+    pieces = [prose(rng, 8) for _ in range(12)]
+    rows = [(1, " ".join(f"{p} {prose(rng, 60)}" for p in pieces)), (2, " ".join(pieces))]
+    assert substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = random.Random(51)
+    shared = prose(rng, 70)
+    rows = [(1, f"{prose(rng, 10)} {shared}", 1), (4, f"{shared} tail", 2), (4, "too short", 3), (4, f"{prose(rng, 300)} {shared}", 4), (None, shared, 5), (4, f"{shared} tail", 6), (4, None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans long")
+    got = {r.spans: r.text for r in substring_dedup.remove_repeats(df).collect()}
+    assert got[1] == rows[0][1] and got[2].strip() == got[6].strip() == "tail" and got[3] == "too short" and got[5] == shared and got[7] is None
+    assert got[4].strip() == rows[3][1].removesuffix(shared).strip()
+
+
+def test_long_texts_have_several_trees(spark):
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(0, 400, 900).astype(np.uint64)
+    order = (substring_dedup._mix(tokens + np.uint64(3 * int(substring_dedup._M2) & (2**64 - 1))) >> np.uint64(24)).tolist()
+    c, left, right = substring_dedup.text_windows(tokens, 46, 3, chunk=100)
+    held = {p: [] for p in range(900 - 45)}
+    for k, a, b in zip(c.tolist(), left.tolist(), right.tolist()):
+        for p in range(max(a, k - 45), min(k, b - 45) + 1):
+            held[p].append(k)
+    for p, found in held.items():
+        assert set(found) == {min(range(p, p + 46), key=lambda i: (order[i], i))}
