@@ -31,7 +31,7 @@ STRING_CHARS = 200
 OVERSAMPLE = 8
 ROUNDS = 4
 WORD_CHARS = 40
-CACHED = 1_000_000
+CACHED = 600_000
 UNKNOWN = 1e-6  # of a letter that no piece covers, in every language
 SMOOTHING = 0.02  # pseudo-count of each piece
 UND = "und"
@@ -218,8 +218,8 @@ class Scorer:
 
     @staticmethod
     def _room(rows: np.ndarray, n: int) -> np.ndarray:
-        while n > len(rows):
-            rows = np.concatenate([rows, np.zeros_like(rows)])
+        if n > len(rows):  # by a half, in place where the allocator can
+            rows.resize((max(n, len(rows) * 3 // 2), rows.shape[1]), refcheck=False)
         return rows
 
     def learn_strings(self, strings: list[str]) -> None:
@@ -264,6 +264,12 @@ def train(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
 def add_language(docs: DataFrame, model, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score", fit_col: str = "fit") -> DataFrame:
     """docs as ``row`` (a struct of all columns, whatever their names), then three columns: the prediction, its score, and how much likelier
     the text is in that language than as letters at random (nats per word, each of ALPHABET letters and a word's end being equally likely; 0 for ``und``)."""
+    chosen = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    return _told(chosen, model, pred_col, score_col, fit_col)
+
+
+def _told(chosen: DataFrame, model, pred_col: str, score_col: str, fit_col: str) -> DataFrame:
+    """chosen: row, text. row and the three columns."""
     import pyarrow as pa
 
     langs, prob, known = model
@@ -288,7 +294,6 @@ def add_language(docs: DataFrame, model, text_col: str = "text", pred_col: str =
                     fits.append(float((row[best] + row[-2] * np.log(ALPHABET + 1)) / row[-1]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())], schema=pa.schema([part.schema.field(0), (pred_col, pa.string()), (score_col, pa.float64()), (fit_col, pa.float64())]))
 
-    chosen = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     schema = chosen.select("row", F.lit("").alias(pred_col), F.lit(0.0).alias(score_col), F.lit(0.0).alias(fit_col)).schema
     return chosen.mapInArrow(run, schema)
 
@@ -308,6 +313,6 @@ def filter_language(docs: DataFrame, model, languages: list[str] | None = None,
 
 def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, lang_pred, score, fit. Only the text is read for a prediction."""
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    told = add_language(chosen.select("id", "text"), model)
+    chosen = docs.select(F.struct(F.col(id_col).alias("id")).alias("row"), F.col(text_col).cast("string").alias("text"))
+    told = _told(chosen, model, "lang_pred", "score", "fit")
     return told.select(F.col("row.id").alias(id_col), held_out("row.id").alias("held_out"), "lang_pred", "score", "fit")
