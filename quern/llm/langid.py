@@ -39,6 +39,7 @@ UND = "und"
 MIN_SCORE = 0.3
 MIN_FIT = -4.0
 ALPHABET = 26
+WORD_FIT = 10.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 
@@ -213,7 +214,7 @@ class Scorer:
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.words: dict[str, int] = {}
-        width = self.prob.shape[1] + 2  # the last columns count letters and ends of words, and words
+        width = self.prob.shape[1] + 2  # the last columns are the words' fit and their number
         self.rows, self.values = np.zeros((1 << 12, width)), np.zeros((1 << 12, width))
 
     @staticmethod
@@ -228,8 +229,10 @@ class Scorer:
         if len(words) > known:
             new = list(words)[known:]
             self.values = self._room(self.values, len(words))
-            self.values[known : len(words), :-2] = Lattice(new, self.starts).totals(self.prob)
-            self.values[known : len(words), -2] = np.fromiter(map(len, new), np.int64, len(new))  # the mark at the start stands for the end
+            totals = Lattice(new, self.starts).totals(self.prob)
+            self.values[known : len(words), :-2] = totals
+            letters = np.fromiter(map(len, new), np.int64, len(new))  # the mark at the start stands for the end
+            self.values[known : len(words), -2] = np.clip(totals.max(axis=1, initial=-np.inf) + letters * np.log(ALPHABET + 1), -WORD_FIT, WORD_FIT)
             self.values[known : len(words), -1] = 1
         base = len(self.index)
         self.rows = self._room(self.rows, base + len(strings))
@@ -242,7 +245,7 @@ class Scorer:
             self.rows[base + full] = np.add.reduceat(self.values[flat], heads, axis=0)
 
     def score(self, texts: list[str | None]) -> list[np.ndarray]:
-        """For each text: log-probability per language, then the numbers of letters (with ends of words) and of words."""
+        """For each text: log-probability per language, then the sum of its words' fits and the number of words."""
         split = [(t or "").split() for t in texts]
         if len(self.index) > CACHED:
             self.clear()
@@ -263,7 +266,8 @@ def train(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
 
 def add_language(docs: DataFrame, model, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score", fit_col: str = "fit") -> DataFrame:
     """docs as ``row`` (a struct of all columns, whatever their names), then three columns: the prediction, its score, and how much likelier
-    the text is in that language than as letters at random (nats per word, each of ALPHABET letters and a word's end being equally likely; 0 for ``und``)."""
+    its words are in a learned language than as letters at random (the mean over words in nats, each of ALPHABET letters and a word's end being equally likely, and
+    no word counting for more than WORD_FIT either way, so that a key or a hash amid prose doesn't outweigh it; 0 for ``und``)."""
     chosen = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     return _told(chosen, model, pred_col, score_col, fit_col)
 
@@ -291,7 +295,7 @@ def _told(chosen: DataFrame, model, pred_col: str, score_col: str, fit_col: str)
                     best = int(np.argmax(row[:-2]))
                     labels.append(langs[best])
                     scores.append(float(1 / np.exp(row[:-2] - row[best]).sum()))
-                    fits.append(float((row[best] + row[-2] * np.log(ALPHABET + 1)) / row[-1]))
+                    fits.append(float(row[-2] / row[-1]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())], schema=pa.schema([part.schema.field(0), (pred_col, pa.string()), (score_col, pa.float64()), (fit_col, pa.float64())]))
 
     schema = chosen.select("row", F.lit("").alias(pred_col), F.lit(0.0).alias(score_col), F.lit(0.0).alias(fit_col)).schema
@@ -299,8 +303,8 @@ def _told(chosen: DataFrame, model, pred_col: str, score_col: str, fit_col: str)
 
 
 def filter_language(docs: DataFrame, model, languages: list[str] | None = None, min_score: float = MIN_SCORE, min_fit: float = MIN_FIT, text_col: str = "text") -> DataFrame:
-    """docs (all columns) whose language is told: of the languages wanted (None: any that was learned), with a score of at least min_score, and a text that fits that
-    language (at least min_fit, see ``add_language``), which letters at random don't. Texts without a letter go. With no language learned, all
+    """docs (all columns) whose language is told: of the languages wanted (None: any that was learned), with a score of at least min_score, and a text whose words fit
+    (at least min_fit, see ``add_language``), which letters at random don't. Texts without a letter go. With no language learned, all
     others stay: nothing can be told of them."""
     if not model[0]:
         return docs.filter(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
