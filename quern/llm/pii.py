@@ -211,3 +211,64 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         *[F.size(k).cast("long").alias(f"n_{k}") for k in ADDED],
         F.array_join(F.transform(every, lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
+
+
+def _sql() -> str:
+    """DuckDB SQL for ``pii_report``, with the contract's plain patterns. Its engine has no look-around: an IBAN's ends are word boundaries (underscores
+    are turned into hyphens first, so that these are the same), and an SSN is a whole run of digits and hyphens."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+){3}",
+        "card": r"[0-9](?:[ -]?[0-9])+",
+        "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+        "iban": rf"\b(?:{_IBAN})\b",
+        "ssn": "[0-9-]+",
+    }
+    source = {"iban": "replace(text, '_', '-')"}
+    pieces = "\n  UNION ALL ".join(
+        f"SELECT rid, {n} AS kind_no, '{k}' AS kind, {KINDS[k][1]} AS prior, text, regexp_extract_all({source.get(k, 'text')}, '{plain[k]}') AS m, "
+        f"regexp_split_to_array({source.get(k, 'text')}, '{plain[k]}') AS g FROM d"
+        for n, k in enumerate(KINDS)
+    )
+    told = " ".join(rf"WHEN '{k}' THEN '(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:{KINDS[k][2]})(?:[^\p{{L}}\p{{N}}_]|$)'" for k in KINDS)
+    base = ", ".join(f"'{k}'" for k in BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+pieces AS ({pieces}),
+placed AS (
+  SELECT rid, kind_no, kind, prior, text, m[i] AS m, (sum(length(g[i]) + length(m[i])) OVER (PARTITION BY rid, kind_no ORDER BY i))::BIGINT AS e
+  FROM pieces, unnest(range(1, len(m) + 1)) r(i)),
+matches AS (SELECT *, e - length(m) AS s FROM placed WHERE kind <> 'ssn' OR regexp_full_match(m, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}')),
+beside AS (
+  SELECT *, greatest(s - {CONTEXT_CHARS}, lag(e, 2, 0) OVER w) AS low, least(e + {CONTEXT_CHARS}, lead(s, 2, length(text)) OVER w) AS high,
+         CASE kind {told} END AS near
+  FROM matches WINDOW w AS (PARTITION BY rid, kind_no ORDER BY s)),
+scored AS (
+  SELECT *, round(least(1.0::DOUBLE, prior::DOUBLE + CASE WHEN regexp_matches(substr(text, low + 1, s - low), near) OR regexp_matches(substr(text, e + 1, high - e), near)
+                                        THEN {CONTEXT_GAIN}::DOUBLE ELSE 0 END), 2) AS score,
+         regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS bare
+  FROM beside),
+good AS (
+  SELECT * FROM scored
+  WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) > 255)) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
+      lambda i: CASE WHEN i % 2 = 1 THEN substr(digits, length(digits) - i + 1, 1)::INTEGER
+                ELSE substr(digits, length(digits) - i + 1, 1)::INTEGER * 2 - CASE WHEN substr(digits, length(digits) - i + 1, 1) > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    WHEN 'iban' THEN list_reduce(list_transform(string_split(substr(bare, 5) || substr(bare, 1, 4), ''), lambda c: CASE WHEN c <= '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END),
+      lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+    ELSE true END
+  AND (score >= {ADDED_MIN_SCORE} OR kind IN ({base}))),
+found AS (
+  SELECT rid, {counts},
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY kind_no, s) FILTER (kind IN ({base})) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY kind_no, s) AS spans, string_agg(score::VARCHAR, ',' ORDER BY kind_no, s) AS scores
+  FROM good GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN found USING (rid)
+"""
+
+
+SQL = _sql()

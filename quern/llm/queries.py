@@ -65,6 +65,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
+    "op5_pii": pii.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_warc": warc.SQL,
     "op8_url_filter": url_filter.SQL,

@@ -92,6 +92,21 @@ def test_ibans_by_country_and_context_behind(spark):
     assert got[1].spans == "iban:0:27"
 
 
+def test_pii_sql_agrees_on_random_texts(spark, check_same):
+    import duckdb
+
+    rng = random.Random(8)
+    bits = ["GB82 WEST 1234 5698 7654 32", "NO9386011117947", "DE89370400440532013001", "_", "X", " OK", " ", " ", ", ", "\n", "123-45-6789", "-", "7", "ssn", "SSN", "payé", "tel", "my bank", "x" * 40]
+    bits += ["a@b.co", "1.2.3.4", "999.1.1.1", "4111 1111 1111 1111", "5500-0000-0000-0005", "+49 (30) 1234567", "é", " 123-45-6789 ", " ssn 987-65-4321, ", " ssn: 123-45-6789"]
+    rows = [(i % 380 or None, "".join(rng.choice(bits) for _ in range(rng.randint(0, 16))) or None) for i in range(400)]
+    got = pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert (got[["n_iban", "n_ssn", "n_card", "n_phone"]].sum() > 20).all()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    check_same(got, con.execute(pii.SQL).df())
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
