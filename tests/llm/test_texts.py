@@ -492,6 +492,29 @@ def test_recall_of_near_passages(spark):
     assert len(got & want.keys()) >= 0.95 * len(want)
 
 
+def test_every_edited_copy_is_linked(spark, monkeypatch):
+    """Twelve copies of a passage, each edited elsewhere, none with 50 words of another: all pairs of a family are near and linked, by listing and by rare tokens."""
+    from collections import Counter
+
+    rng = random.Random(61)
+    rows, want = [], set()
+    for family in range(4):
+        passage, parts = prose(rng, 90).split(), []
+        for i in range(12):
+            copy = list(passage)
+            copy[rng.randrange(42, 48)] = f"edit{family}x{i}"
+            parts.append(copy)
+            rows.append((100 * family + i, " ".join([prose(rng, rng.randint(20, 60)), *copy, prose(rng, 30)])))
+        runs = [[Counter(tuple(w[k : k + 5]) for k in range(p, p + 46)) for p in range(41)] for w in parts]
+        want |= {(100 * family + i, 100 * family + j) for i in range(12) for j in range(i) if any(sum((a & b).values()) >= 41 for a, b in zip(runs[i], runs[j]))}
+    assert len(want) > 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for few in (100, 0):
+        monkeypatch.setattr(substring_dedup, "FEW", few)
+        got = {(r.doc_id, r.source_id) for r in substring_dedup.shared_passages(df).collect()}
+        assert len(got & want) >= 0.95 * len(want), (few, len(got & want), len(want))
+
+
 def test_near_means_windows_of_equal_width(spark):
     """A document whose shingles all occur somewhere in a far longer earlier one, never together, is no copy of it."""
     rng = random.Random(41)
