@@ -515,6 +515,66 @@ def test_every_edited_copy_is_linked(spark, monkeypatch):
         assert len(got & want) >= 0.95 * len(want), (few, len(got & want), len(want))
 
 
+def test_classes_of_edited_copies(spark, monkeypatch, tmp_path):
+    """Large groups of copies, each edited elsewhere: the query has a row per stretch and not per pair, alike runs are of one class, and stretches are those of all pairs."""
+    from collections import Counter
+
+    from quern.llm import queries
+
+    rng = random.Random(67)
+    rows, pairs = [], set()
+    for family in range(3):
+        passage, parts = prose(rng, 90).split(), []
+        for i in range(40):
+            copy = list(passage)
+            copy[rng.randrange(20, 70)] = f"edit{family}x{i}"
+            parts.append(copy)
+            rows.append((100 * family + i, " ".join([prose(rng, rng.randint(20, 60)), *copy, prose(rng, 30)])))
+        runs = [[Counter(tuple(w[k : k + 5]) for k in range(p, p + 46)) for p in range(41)] for w in parts]
+        pairs |= {(100 * family + i, 100 * family + j) for i in range(40) for j in range(i) if any(sum((a & b).values()) >= 41 for a, b in zip(runs[i], runs[j]))}
+    assert len(pairs) > 500
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    for few in (8, 0):
+        monkeypatch.setattr(substring_dedup, "FEW", few)
+        got = queries.QUERIES["op4_substring_dedup"](spark, str(tmp_path)).collect()
+        assert len(got) < 2 * len(rows)
+        classes = {i: {i} for i, _ in rows}
+        for r in got:
+            assert r.source_id < r.doc_id and r.source_id // 100 == r.doc_id // 100 and r.words == r.end - r.start
+            classes[r.doc_id].add(r.source_id)
+        assert sum(bool(classes[i] & classes[j]) for i, j in pairs) >= 0.99 * len(pairs)
+        spans = {}
+        for r in substring_dedup.shared_passages(df).collect():
+            spans.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+        for i in spans.keys() | {r.doc_id for r in got}:
+            assert len(spans[i] ^ {k for r in got if r.doc_id == i for k in range(r.start, r.end)}) <= 10, (few, i)
+
+
+def test_classes_compare_few_pairs(spark, monkeypatch):
+    """Copies with an edit each in one place and words of their own around: nearly all are alike, few are compared."""
+    rng, held = random.Random(71), []
+    passage = prose(rng, 90).split()
+    rows = [(i, " ".join([prose(rng, 30), *passage[:45], f"edit{i}", *passage[46:], prose(rng, 30)])) for i in range(120)]
+    stored = substring_dedup.stored
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: (held.append((name, out := stored(df, name))), out)[1])
+    got = substring_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.source_id) for r in got} == {(i, 0) for i in range(1, 120)}
+    assert sum(out.count() for name, out in held if name == "passage-pairs") < 1200
+
+
+def test_class_edges(edge_docs, no_docs, spark):
+    assert substring_dedup.passage_classes(no_docs).count() == 0
+    assert substring_dedup.passage_classes(edge_docs).count() == 0
+    rng = random.Random(73)
+    one, two = prose(rng, 70), prose(rng, 80)
+    rows = [(1, f"{one} {prose(rng, 20)}"), (2, f"{prose(rng, 9)} {two}"), (2, f"{prose(rng, 9)} {two}"), (None, one), (5, f"{one} {prose(rng, 90)} {two}"), (-4, two), (7, None)]
+    got = substring_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {(2, -4, 0, 9, 80): 80, (5, 1, 0, 0, 70): 70, (5, -4, 0, 160, 80): 80}
+    got = {(r.doc_id, r.source_id, r.source_start, r.start, r.words): r.source_end for r in got}
+    assert got.keys() == want.keys() and all(0 <= got[k] - want[k] <= 5 for k in want)
+
+
 def test_near_means_windows_of_equal_width(spark):
     """A document whose shingles all occur somewhere in a far longer earlier one, never together, is no copy of it."""
     rng = random.Random(41)
