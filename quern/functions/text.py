@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+import html.entities
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -28,23 +30,40 @@ def squeezed(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, rf"{WS}+", " "), r"^\x20+|\x20+$", "")
 
 
-@F.pandas_udf(StringType())
-def unescape_html(s):  # noqa: ANN001, ANN201
-    return s.map(lambda x: None if x is None else html.unescape(x))
+def unescaped(x: str | None, closed: bool = False) -> str | None:
+    """Entities to characters, those without a semicolon too (``&amp b``), as far as HTML has them; with closed only those that end with one."""
+    if x is None or not closed:
+        return x and html.unescape(x)
 
+    def one(m: re.Match) -> str:
+        return html.unescape(m[0]) if m[1][0] == "#" or m[1] + ";" in html.entities.html5 else m[0]
 
-@F.pandas_udf(ArrayType(StringType()))
-def unescape_each(lists):  # noqa: ANN001, ANN201
-    return lists.map(lambda xs: None if xs is None else [None if x is None else html.unescape(x) for x in xs])
+    return re.sub("&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", one, x)
+
+
+def unescape_html(c: Column, closed: bool = False) -> Column:
+    @F.pandas_udf(StringType())
+    def unescape(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unescaped(x, closed))
+
+    return unescape(c)
+
+
+def unescape_each(c: Column, closed: bool = False) -> Column:
+    @F.pandas_udf(ArrayType(StringType()))
+    def unescape(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda xs: None if xs is None else [unescaped(x, closed) for x in xs])
+
+    return unescape(c)
 
 
 def without_tags(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")
 
 
-def strip_html(c: Column) -> Column:
-    """Tags to blanks, then entities to characters, then white space squeezed: an escaped tag stays as text."""
-    return squeezed(unescape_html(without_tags(c)))
+def strip_html(c: Column, closed: bool = False) -> Column:
+    """Tags to blanks, then entities to characters (with closed only those that end with a semicolon), then white space squeezed: an escaped tag stays as text."""
+    return squeezed(unescape_html(without_tags(c), closed))
 
 
 def word_count(c: Column) -> Column:

@@ -56,25 +56,25 @@ def auto_schema(df: DataFrame, source: str = "vishnuoi", pos: str | None = "pos"
     return tagged(df, detected(df), source, pos)
 
 
-def strip_messages(df: DataFrame) -> DataFrame:
-    """Users' and assistants' contents without mark-up; system turns as they are. Each row stays a row: the step in Python maps the list of its contents."""
+def strip_messages(df: DataFrame, closed: bool = False) -> DataFrame:
+    """Users' and assistants' contents without mark-up (closed: as in strip_html); system turns as they are. Each row stays a row: the step in Python maps the list of its contents."""
     m = F.col("messages")
-    bare = unescape_each(F.transform(m, lambda x: F.when(x["role"].isin("user", "assistant"), without_tags(x["content"]))))
+    bare = unescape_each(F.transform(m, lambda x: F.when(x["role"].isin("user", "assistant"), without_tags(x["content"]))), closed)
     made = F.zip_with(m, F.col("bare"), lambda x, b: F.when(x.isNotNull(), message(x["role"], F.when(x["role"].isin("user", "assistant"), squeezed(b)).otherwise(x["content"]))))
     return df.withColumn("bare", bare).select("pos", made.cast(MESSAGES).alias("messages"), "source")
 
 
-def exchange_posts(df: DataFrame, source: str = "gamedev", pos: str | None = "pos") -> DataFrame:
-    return strip_messages(auto_schema(df, source, pos))
+def exchange_posts(df: DataFrame, source: str = "gamedev", pos: str | None = "pos", closed: bool = False) -> DataFrame:
+    return strip_messages(auto_schema(df, source, pos), closed)
 
 
-def curated_posts(df: DataFrame, min_score: int = 5, domain_only: bool = True, source: str = "gamedev", pos: str | None = "pos", words: list[str] | None = None) -> DataFrame:
+def curated_posts(df: DataFrame, min_score: int = 5, domain_only: bool = True, source: str = "gamedev", pos: str | None = "pos", words: list[str] | None = None, closed: bool = False) -> DataFrame:
     """Posts whose scores and acceptance hold (checked on the raw rows, before any conversion); without such columns, long answers of
     the domain. words: those of the domain, if not DOMAIN_WORDS."""
     if not filters.has_meta(df):
-        made = exchange_posts(df, source, pos)
+        made = exchange_posts(df, source, pos, closed)
         return made.filter(filters.heuristic_ok(F.col("messages"), domain_only, words=words))
-    made = exchange_posts(df.filter(filters.meta_ok(df, min_score)), source, pos)
+    made = exchange_posts(df.filter(filters.meta_ok(df, min_score)), source, pos, closed)
     if domain_only:
         from quern.functions.messages import full_text
 

@@ -33,6 +33,28 @@ def test_html_order(spark):
     assert [r.x for r in rows.collect()] == ["<b>x", "List a", ""]
 
 
+def test_html_entities_without_a_semicolon(spark):
+    """By default as HTML has it; the catalog's queries take closed ones alone, as their SQL does."""
+    texts = ["a &amp b", "&quot x", "c&amp", "&amp;amp; &lt;b&gt; &#39; &#x41; &nosuch; &copyx;", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    both = [tuple(r) for r in df.select(T.strip_html(F.col("s")), T.strip_html(F.col("s"), closed=True)).collect()]
+    assert [a for a, _ in both] == ["a & b", '" x', "c&", "&amp; <b> ' A &nosuch; ©x;", ""]
+    assert [b for _, b in both] == ["a &amp b", "&quot x", "c&amp", "&amp; <b> ' A &nosuch; &copyx;", ""]
+
+
+@pytest.mark.parametrize("name", ["html_strip"])
+def test_html_queries_match_sql_on_cut_pages(name, spark, tmp_path, check_same):
+    import duckdb
+
+    from quern.plans import catalog
+
+    rows = [(1, "u", "<p>one &amp</p>two &middot; &copy;"), (2, "u", "x &quot</p> &quot;y&quot; &am"), (3, "u", "&amp;quot; &amp;amp;")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    check_same(catalog.QUERIES[name](spark, str(tmp_path)).toPandas(), con.execute(catalog.ORACLE[name]).df())
+
+
 def test_detected_pairs(spark):
     df = spark.createDataFrame([("", "q", "a"), ("i", "q", "a"), (None, None, "a"), ("i", " ", None)], "instruction string, input string, output string")
     got = [r.m for r in df.select(M.detected(df).alias("m")).collect()]
