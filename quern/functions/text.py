@@ -16,18 +16,20 @@ from pyspark.sql.types import ArrayType, LongType, StringType
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 # Fixed value: its complement.
 NOT_WS = r"[^\s\x1c-\x1f\x85\p{Z}]"
+# Fixed value: all characters of the class (a test holds both against each other).
+WS_CHARS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed value: the same class for DuckDB's RE2.
 DUCK_WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
 def clean(c: Column) -> Column:
-    """Null to empty; white space off both ends."""
-    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), rf"^{WS}+|{WS}+$", "")
+    """Null to empty; white space off both ends. A trim looks at the ends alone, where a pattern would be tried at each blank of a long text."""
+    return F.btrim(F.coalesce(c.cast("string"), F.lit("")), F.lit(WS_CHARS))
 
 
 def squeezed(c: Column) -> Column:
     """Runs of white space become one blank; none at the ends."""
-    return F.regexp_replace(F.regexp_replace(c, rf"{WS}+", " "), r"^\x20+|\x20+$", "")
+    return F.btrim(F.regexp_replace(c, rf"{WS}+", " "))
 
 
 def unescaped(x: str | None, closed: bool = False) -> str | None:
@@ -77,7 +79,7 @@ def first_filled(columns: list[Column]) -> Column:
 
 def parsed_number(c: Column) -> Column:
     """A double, or null if the text is no number."""
-    return F.regexp_replace(c.cast("string"), rf"^{WS}+|{WS}+$", "").try_cast("double")
+    return F.btrim(c.cast("string"), F.lit(WS_CHARS)).try_cast("double")
 
 
 def number_text(c: Column, digits: int = 6) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.messages import MESSAGES, SYSTEM_PROMPT, detected, message, pair, with_system
-from quern.functions.order import global_rank
+from quern.functions.shared import stored
 from quern.functions.text import clean, squeezed, unescape_each, without_tags
 from quern.operators import filters
 
@@ -125,10 +125,19 @@ def take_stream(stream: DataFrame, path: str, checkpoint: str, most: int = 5000,
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """df with ``pos``, a row's place by file name and order in the file, however files were split and dealt to tasks."""
+    """df with ``pos``, a row's place by file name and order in the file, however files were split and dealt to tasks.
+
+    A split's rows stand together in its task, in order, so a place is a row's number in the task, shifted by the rows of the splits before. Rows are written once, with
+    their numbers, so that counts and places speak of the same splits, and never shuffled; the driver sees one count per split."""
     at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__no")]
-    placed = global_rank(df.select("*", *at), F.col("__file"), F.col("__start"), F.col("__no"), name="pos")
-    return placed.drop("__file", "__start", "__no")
+    kept = stored(df.select("*", *at), "placed")
+    shifts, before = [], 0
+    for file, start, first, n in sorted(map(tuple, kept.groupBy("__file", "__start").agg(F.min("__no"), F.count(F.lit(1))).collect())):
+        shifts.append((file, start, before + 1 - first))
+        before += n
+    shift = df.sparkSession.createDataFrame(shifts, "__file string, __start long, __shift long")
+    placed = kept.join(F.broadcast(shift), ["__file", "__start"]).withColumn("pos", F.col("__no") + F.col("__shift"))
+    return placed.drop("__file", "__start", "__no", "__shift")
 
 
 def json_lines(spark: SparkSession, path: str, source: str = "perf", schema: str | T.StructType | None = None) -> DataFrame:

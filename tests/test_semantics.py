@@ -28,6 +28,32 @@ def test_clean(spark):
     assert one(spark, T.clean(F.lit("  a \x1c "))) == "a"
 
 
+def test_trimming_is_by_the_class_of_white_space(spark):
+    every = spark.createDataFrame([(chr(i),) for i in range(0x10000) if not 0xD800 <= i < 0xE000], "c string")
+    assert {r.c for r in every.filter(F.col("c").rlike(f"^{T.WS}$")).collect()} == set(T.WS_CHARS)
+    texts = ["", " ", "\u3000a\u2028b \r\n", "\x85\n", "a\n", "\u200ba\u200b ", "x\u00a0\u180e\u00a0", "é\u205f🙂\x1f"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    by_pattern = F.regexp_replace("s", rf"^{T.WS}+|{T.WS}+$", "")
+    assert all(a == b for a, b in df.select(T.clean(F.col("s")), by_pattern).collect())
+    assert "regexp_replace" not in df.select(T.clean(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_places_of_lines_by_splits_without_a_shuffle(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"part-{i}.json").write_text("".join(f'{{"question": "q{i}-{k}", "answer": "{"a" * (k % 7 + 1)}"}}\n' for k in range(40 + i)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+        df = loaders.json_lines(spark, str(tmp_path))
+        assert "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        got = [(r.pos, r.messages[1].content) for r in df.orderBy("pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate([f"q{i}-{k}" for i in range(3) for k in range(40 + i)], 1))
+    (tmp_path / "none.json").write_text("")
+    assert loaders.json_lines(spark, str(tmp_path / "none.json"), schema="question string, answer string").count() == 0
+
+
 def test_html_order(spark):
     rows = spark.createDataFrame([("&lt;b&gt;x",), ("List<int> a",), (None,)], "s string").select(T.strip_html(F.col("s")).alias("x"))
     assert [r.x for r in rows.collect()] == ["<b>x", "List a", ""]
