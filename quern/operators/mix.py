@@ -76,7 +76,8 @@ def cap_per_source(df: DataFrame, caps: dict[str, int | None] | int, seed: int =
     met = counts.withColumn("room", F.col("cap") - before)
     # per source the first range that does not fit whole, and the rows of it that still do
     edges = met.filter(F.col("room") < F.col("n")).groupBy(F.col("s").alias("of")).agg(F.min(F.struct("range", "room")).alias("edge"))
-    dealt = rows.join(edges, F.col("s").eqNullSafe(F.col("of")), "left")
+    # a row per source: sent to the rows, which a join by source would shuffle into one task per source
+    dealt = rows.join(F.broadcast(edges), F.col("s").eqNullSafe(F.col("of")), "left")
     sure = dealt.filter(F.col("edge").isNull() | (F.col("range") < F.col("edge.range"))).select("row.*")
     place = F.row_number().over(Window.partitionBy("s").orderBy("h", "k"))
     cut = dealt.filter(F.col("range") == F.col("edge.range")).withColumn("place", place).filter(F.col("place") <= F.col("edge.room")).select("row.*")

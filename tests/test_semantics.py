@@ -38,6 +38,20 @@ def test_trimming_is_by_the_class_of_white_space(spark):
     assert "regexp_replace" not in df.select(T.clean(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_caps_never_shuffle_rows_by_source(spark):
+    """One source's rows went to one task before: the join with the cuts shuffled them by source."""
+    df = spark.range(500).select(F.col("id").alias("pos"), F.when(F.col("id") < 400, "a").otherwise("b").alias("source"), F.col("id").cast("string").alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = mix.cap_per_source(df, {"a": 50, "b": 500})
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert {r["source"]: r["count"] for r in got.groupBy("source").count().collect()} == {"a": 50, "b": 100}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_places_of_lines_by_splits_without_a_shuffle(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"part-{i}.json").write_text("".join(f'{{"question": "q{i}-{k}", "answer": "{"a" * (k % 7 + 1)}"}}\n' for k in range(40 + i)))
