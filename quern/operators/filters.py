@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -72,6 +74,8 @@ SPECULATIVE = (
     r"|(아마도|아마\s*맞|확실하지\s*않|잘\s*모르겠지만|모르겠지만|"
     r"추측(으로|컨대|건대)?|장담은\s*못|확신은\s*없|아닐\s*수도|일\s*수도\s*있)"
 )
+#: Strings of which every match has one in lower case, free of letters that some other one equals without case (i, s).
+SPECULATIVE_SIGNS = ["m not ", "nk ", "100%", "gue", "probab", "maybe", "now but", "아마", "확실하지", "모르겠", "추측", "장담은", "확신은", "수도"]
 # Fixed value: a member of a type, as evidence.
 API_TOKEN = r"\b[A-Z][A-Za-z0-9]+\.[A-Za-z]"
 # Words of the domain.
@@ -136,7 +140,9 @@ def unambiguous(m: Column, min_chars: int = 12, min_words: int = 3) -> Column:
 
 
 def grounded_text(answer: Column, max_markers_without_code: int = 1) -> Column:
-    markers = F.regexp_count(answer, F.lit(_java(SPECULATIVE, "(?iUd)")))
+    # the text in lower case is computed once for all signs
+    signs = F.transform(F.array(F.lower(answer)), lambda t: functools.reduce(lambda a, b: a | b, [F.contains(t, F.lit(s)) for s in SPECULATIVE_SIGNS]))[0]
+    markers = F.when(~signs, 0).otherwise(F.regexp_count(answer, F.lit(_java(SPECULATIVE, "(?iUd)"))))
     evidence = F.contains(answer, F.lit(FENCE)) | answer.rlike(_java(API_TOKEN))
     return (markers == 0) | (markers < max_markers_without_code) | evidence
 

@@ -31,9 +31,11 @@ def to_format(df: DataFrame, output: str, render: Callable[[Column], Column] | N
     raise ValueError("the output is messages, alpaca or text")
 
 
-def unique(df: DataFrame) -> DataFrame:
-    """One row per fingerprint: by the sources' priority if both of its sources are there, else the first."""
-    return dedup.by_priority(df.withColumn("fp", fingerprint(F.col("messages"))), "fp", "source", F.col("pos"), priority=dedup.active_priority(df)).drop("fp")
+def unique(df: DataFrame, plain: DataFrame | None = None) -> DataFrame:
+    """One row per fingerprint: by the sources' priority if both of its sources are there, else the first. plain: the same rows without observations, which a look for
+    the sources would end before all rows were seen."""
+    priority = dedup.active_priority(df if plain is None else plain)
+    return dedup.by_priority(df.withColumn("fp", fingerprint(F.col("messages"))), "fp", "source", F.col("pos"), priority=priority).drop("fp")
 
 
 def _stage(df: DataFrame, condition: Column, name: str, seen: list) -> DataFrame:
@@ -79,8 +81,9 @@ def build_corpus(
     _warn_of_sources([*sources, *(extra or {})], recipe)
     frames = [mix.cap_per_source(f, {n: caps.get(n)}, seed) for n, f in sources.items()]
     frames += [mix.cap_per_source(mix.extra_source(f, n), {n: caps.get(n)}, seed) for n, f in (extra or {}).items()]
-    df = _stage(mix.union_sources(frames), is_valid(F.col("messages")), "valid", seen)
-    df = _stage(unique(df), filters.short_enough(count_tokens(rendered(F.col("messages"))), max_length), "length", seen)
+    plain, valid = mix.union_sources(frames), is_valid(F.col("messages"))
+    df = _stage(plain, valid, "valid", seen)
+    df = _stage(unique(df, plain.filter(valid)), filters.short_enough(count_tokens(rendered(F.col("messages"))), max_length), "length", seen)
     df = df.withColumn("pos", F.concat_ws(":", F.col("pos.source_no").cast("string"), F.col("pos.native").cast("string")))
     df = _settled(df, "corpus", seen, telemetry)
     if recipe:
@@ -127,10 +130,10 @@ def build_strict(
     frames = [mix.cap_per_source(sources[n], {n: caps.get(n)}, seed) for n in knowledge if n in sources]
     frames += [mix.cap_per_source(mix.extra_source(f, n, overwrite=False), {n: caps.get(n)}, seed) for n, f in (extra or {}).items()]
     m = F.col("messages")
-    df = mix.union_sources(frames)
+    df = plain = mix.union_sources(frames)
     for name, condition in (("valid", is_valid(m)), ("unambiguous", filters.unambiguous(m)), ("current", filters.up_to_date(m, strict)), ("grounded", filters.grounded(m))):
-        df = _stage(df, condition, name, seen)
-    df = unique(df)
+        df, plain = _stage(df, condition, name, seen), plain.filter(condition)
+    df = unique(df, plain)
     df = df.withColumn("pos", F.concat_ws(":", F.lpad(F.col("pos.source_no").cast("string"), 6, "0"), F.lpad(F.col("pos.native").cast("string"), 20, "0")))
     if embed is not None:
         df = _settled(df, "deduplicated", seen, telemetry)

@@ -38,6 +38,17 @@ def test_trimming_is_by_the_class_of_white_space(spark):
     assert "regexp_replace" not in df.select(T.clean(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_signs_of_guessing_lose_no_match(spark):
+    texts = ["I'm not sure", "I am NOT certain", "im not certain", "ı thinK it might", "I THINK could", "not 100% ſure", "I gueſs", "PROBABLY it's", "maybe TRY", "i don't really \u212anow but", "아마도", "아마 맞", "확실하지 않",
+             "잘 모르겠지만", "추측컨대", "장담은 못", "확신은 없", "아닐 수도", "일 수도 있", "plain", "thank gue maybe", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    plain = F.regexp_count("s", F.lit(filters._java(filters.SPECULATIVE, "(?iUd)"))) == 0
+    rows = df.select(plain.alias("a"), filters.grounded_text(F.col("s")).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and sum(r.a is False for r in rows) >= 16
+    # a text without a sign is told by looking for strings: the pattern stands behind a condition
+    assert "CASE WHEN" in df.select(filters.grounded_text(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_caps_never_shuffle_rows_by_source(spark):
     """One source's rows went to one task before: the join with the cuts shuffled them by source."""
     df = spark.range(500).select(F.col("id").alias("pos"), F.when(F.col("id") < 400, "a").otherwise("b").alias("source"), F.col("id").cast("string").alias("text"))
@@ -52,6 +63,15 @@ def test_caps_never_shuffle_rows_by_source(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_priority_needs_no_pass_over_sources_that_cannot_be_there(spark):
+    """A strict build filtered everything twice before: once to look for the sources of the priority."""
+    boom = F.expr("CASE WHEN raise_error('a row was read') IS NULL THEN true END")
+    df = rows_of(spark, 5, "erocal").withColumn("source", F.lit("erocal")).filter(boom)
+    assert dedup.active_priority(df) is None
+    some = spark.createDataFrame([("ibranze",), ("vishnuoi",), (None,)], "source string")
+    assert dedup.active_priority(some) == dedup.PRIORITY and dedup.active_priority(some.filter("source <> 'ibranze'")) is None
+
+
 def test_places_of_lines_by_splits_without_a_shuffle(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"part-{i}.json").write_text("".join(f'{{"question": "q{i}-{k}", "answer": "{"a" * (k % 7 + 1)}"}}\n' for k in range(40 + i)))
